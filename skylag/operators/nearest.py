@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import LOWER_48, Box, arc_km, haversine_km
+from ..functions.geo import EARTH_RADIUS_KM, LOWER_48, Box, haversine_km
 
 # Cell sizes in degrees; all are powers of two, so that cells nest exactly.
 CELL_DEGREES = (8.0, 0.5, 0.03125)
@@ -16,9 +16,12 @@ CELL_DEGREES = (8.0, 0.5, 0.03125)
 _TIE_DIGITS = 6
 _SLACK_KM = 1e-4
 
-# A level with no more cells than this on the whole globe may be broadcast: two
-# cell numbers each, some 8 MB.
-_BROADCAST_CELLS = 300_000
+# Salts for the joins on cells.
+_SALTS = 4
+
+# A level with no more rows than this on the whole globe may be broadcast: five
+# small numbers each, some 40 MB.
+_BROADCAST_CELLS = 1_100_000
 
 
 def points(df: DataFrame, id_col: str, lat: str, lon: str, box: Box) -> DataFrame:
@@ -27,45 +30,43 @@ def points(df: DataFrame, id_col: str, lat: str, lon: str, box: Box) -> DataFram
     return chosen.filter(box.holds(F.col("lat"), F.col("lon"))).distinct()
 
 
-def _row(lat: Column, size: float) -> Column:
-    return F.floor((lat + 90) / size)
-
-
-def _col(lon: Column, size: float) -> Column:
-    return F.floor((lon + 180) / size)
+def _cell(size: float, lat: str = "lat", lon: str = "lon") -> tuple[str, str]:
+    """Row and column of the grid cell of a point, as SQL."""
+    return (
+        f"CAST(floor(({lat} + 90) / {size}D) AS INT) AS r",
+        f"CAST(floor(({lon} + 180) / {size}D) AS INT) AS c",
+    )
 
 
-def _span(size: float) -> tuple[Column, Column]:
-    """Bounds in km for the distance from (lat, lon) to any point of cell (r, c).
+def _span(size: float) -> tuple[str, str]:
+    """Bounds in km for the distance from (lat, lon) to any point of cell (r, c), as SQL.
 
     Rise and turn are bounded one by one, and so is the cosine of the other
     latitude; the haversine grows with each of the three.
     """
     south, north = f"(r * {size}D - 90)", f"(r * {size}D + {size}D - 90)"
-    ahead, behind = f"pmod(lon + 180 - c * {size}D, 360D)", f"pmod(c * {size}D + {size}D - 180 - lon, 360D)"
+    ahead = f"pmod(lon + 180 - c * {size}D, 360D)"
+    behind = f"pmod(c * {size}D + {size}D - 180 - lon, 360D)"
     edges = f"least({ahead}, 360 - {ahead}), least({behind}, 360 - {behind})"
     cosines = f"cos(radians({south})), cos(radians({north}))"
-    bounds = {
-        "near": (
-            f"greatest(0D, {south} - lat, lat - {north})",
-            f"if({ahead} <= {size}D, 0D, least({edges}))",
-            f"greatest(0D, least({cosines}))",
-        ),
-        "far": (
-            f"greatest(abs(lat - {south}), abs(lat - {north}))",
-            f"if(pmod({ahead} + 180, 360D) <= {size}D, 180D, greatest({edges}))",
-            f"if({south} <= 0 AND {north} >= 0, 1D, greatest({cosines}))",
-        ),
-    }
-    near, far = [
-        arc_km(
-            F.expr(
-                f"power(sin(radians({rise}) / 2), 2)"
-                f" + cos(radians(lat)) * {width} * power(sin(radians({turn}) / 2), 2)"
-            )
+
+    def km(rise: str, turn: str, width: str) -> str:
+        half_chord = (
+            f"power(sin(radians({rise}) / 2), 2)"
+            f" + cos(radians(lat)) * {width} * power(sin(radians({turn}) / 2), 2)"
         )
-        for rise, turn, width in bounds.values()
-    ]
+        return f"2 * {EARTH_RADIUS_KM} * asin(sqrt(least(1D, {half_chord})))"
+
+    near = km(
+        f"greatest(0D, {south} - lat, lat - {north})",
+        f"if({ahead} <= {size}D, 0D, least({edges}))",
+        f"greatest(0D, least({cosines}))",
+    )
+    far = km(
+        f"greatest(abs(lat - {south}), abs(lat - {north}))",
+        f"if(pmod({ahead} + 180, 360D) <= {size}D, 180D, greatest({edges}))",
+        f"if({south} <= 0 AND {north} >= 0, 1D, greatest({cosines}))",
+    )
     return near, far
 
 
@@ -76,9 +77,12 @@ def _keep_reachable(cells: DataFrame, size: float) -> DataFrame:
     nearest neighbour cannot exceed.
     """
     near, far = _span(size)
-    own = Window.partitionBy("id", "lat", "lon")
-    bounded = cells.withColumns({"near": near, "reach": F.min(far).over(own)})
-    return bounded.filter(F.col("near") <= F.col("reach") + _SLACK_KM).drop("near", "reach")
+    reach = f"min({far}) OVER (PARTITION BY id, lat, lon)"
+    return (
+        cells.selectExpr("*", f"{near} AS near", f"{reach} AS reach")
+        .filter(f"near <= reach + {_SLACK_KM}D")
+        .drop("near", "reach")
+    )
 
 
 def nearest_join(
@@ -98,72 +102,79 @@ def nearest_join(
     equi-join on cell numbers, so the work grows with left points times a few
     cells, not with left times right. Right points at one place count once, by
     their smallest id, which is also the one that wins a tie. Coordinates with
-    three decimals leave at most 256 places in a finest cell.
+    three decimals leave at most 1,024 places in a finest cell. Left points that
+    crowd in one cell are spread over salts.
 
     Gives ``airport_id, station_id, haversine, airport_lat, airport_lon``.
     """
-    finest = cell_degrees[-1]
+    every_salt = f"explode(sequence(0, {_SALTS - 1})) AS salt"
     places = (
         points(right, *right_cols, box)
         .groupBy("lat", "lon")
         .agg(F.min("id").alias("station_id"))
-        .select(
+        .selectExpr(
             "station_id",
-            F.col("lat").alias("station_lat"),
-            F.col("lon").alias("station_lon"),
-            _row(F.col("lat"), finest).alias("r"),
-            _col(F.col("lon"), finest).alias("c"),
+            "lat AS station_lat",
+            "lon AS station_lon",
+            *_cell(cell_degrees[-1]),
+            every_salt,
         )
     )
     spots = right.select(F.col(right_cols[1]).alias("lat"), F.col(right_cols[2]).alias("lon"))
     spots = spots.filter(box.holds(F.col("lat"), F.col("lon")))
 
-    def occupied(size: float) -> DataFrame:
-        cells = spots.select(
-            _row(F.col("lat"), size).alias("r"), _col(F.col("lon"), size).alias("c")
-        ).distinct()
-        fits = (180 / size + 1) * (360 / size + 1) <= _BROADCAST_CELLS
-        return F.broadcast(cells) if fits else cells
+    def occupied(size: float, outer_size: float) -> DataFrame:
+        """Cells with a right point, each with the coarser cell around it."""
+        ratio = int(outer_size / size)
+        cells = spots.selectExpr(*_cell(size)).distinct()
+        nested = cells.selectExpr(
+            f"CAST(r DIV {ratio} AS INT) AS outer_r", f"CAST(c DIV {ratio} AS INT) AS outer_c", "r", "c", every_salt
+        )
+        bounded = (180 / size + 1) * (360 / size + 1) * _SALTS <= _BROADCAST_CELLS
+        return F.broadcast(nested) if bounded else nested
 
     top = cell_degrees[0]
 
-    def across(low: float, high: float, edge: float) -> Column:
+    def across(low: float, high: float, edge: int) -> str:
         first = math.floor((max(low, -edge) + edge) / top)
         last = math.floor((min(high, edge) + edge) / top)
-        return F.explode(F.expr(f"sequence({first}L, {last}L)"))
+        return f"explode(sequence({first}, {last}))"
 
     cells = (
         points(left, *left_cols, box)
-        .withColumn("r", across(box.south, box.north, 90))
-        .withColumn("c", across(box.west, box.east, 180))
-        .join(occupied(top), ["r", "c"])
-    )
-    cells = _keep_reachable(cells, top)
-    for outer_size, size in zip(cell_degrees, cell_degrees[1:]):
-        ratio = int(outer_size / size)
-        inner = occupied(size).selectExpr(
-            f"r DIV {ratio} AS outer_r", f"c DIV {ratio} AS outer_c", "r", "c"
+        .selectExpr(
+            "*",
+            f"CAST(pmod(xxhash64(id, lat, lon), {_SALTS}) AS INT) AS salt",
+            f"{across(box.south, box.north, 90)} AS outer_r",
         )
-        outer = cells.withColumnsRenamed({"r": "outer_r", "c": "outer_c"})
-        cells = outer.join(inner, ["outer_r", "outer_c"]).drop("outer_r", "outer_c")
-        cells = _keep_reachable(cells, size)
+        .selectExpr("*", f"{across(box.west, box.east, 180)} AS outer_c")
+    )
+    for outer_size, size in zip((top, *cell_degrees), cell_degrees):
+        inner = occupied(size, outer_size)
+        cells = cells.join(inner, ["outer_r", "outer_c", "salt"]).drop("outer_r", "outer_c")
+        cells = _keep_reachable(cells, size).withColumnsRenamed({"r": "outer_r", "c": "outer_c"})
 
     distance = haversine_km(
         F.col("station_lat"), F.col("station_lon"), F.col("lat"), F.col("lon")
     )
-    measured = cells.join(places, ["r", "c"]).withColumn("haversine", distance)
-    closest_first = Window.partitionBy("id").orderBy(
-        F.round("haversine", _TIE_DIGITS), "station_id", "lat", "lon"
+    measured = (
+        cells.withColumnsRenamed({"outer_r": "r", "outer_c": "c"})
+        .join(places, ["r", "c", "salt"])
+        .withColumn("haversine", distance)
+    )
+    closest_first = (
+        f"row_number() OVER (PARTITION BY id"
+        f" ORDER BY round(haversine, {_TIE_DIGITS}), station_id, lat, lon) AS row_num"
     )
     return (
-        measured.withColumn("row_num", F.row_number().over(closest_first))
+        measured.selectExpr("*", closest_first)
         .filter("row_num = 1")
-        .select(
-            F.col("id").alias("airport_id"),
+        .selectExpr(
+            "id AS airport_id",
             "station_id",
             "haversine",
-            F.col("lat").alias("airport_lat"),
-            F.col("lon").alias("airport_lon"),
+            "lat AS airport_lat",
+            "lon AS airport_lon",
         )
     )
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from itertools import combinations_with_replacement
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +14,11 @@ from ..sources.tables import sql_over
 from .quantiles import quantiles
 
 
+# Per pair of columns, over the rows that have both: count, sums, sums of squares
+# and of products.
+_MOMENTS = ("n", "x", "y", "xx", "yy", "xy")
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
@@ -21,43 +27,53 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
-def _one_row_per_column(df: DataFrame, names: Sequence[str], facts: dict) -> DataFrame:
+def _one_row_per_column(
+    df: DataFrame, names: Sequence[str], facts: dict[str, str]
+) -> DataFrame:
     """Aggregate all columns in one pass, then turn the wide row into one per column.
 
-    ``facts`` maps an output name to a function from column name to aggregate.
+    ``facts`` maps an output name to an SQL aggregate in which ``{c}`` is the column.
     """
-    row = df.agg(
-        *[fact(name).alias(f"{i}_{key}") for i, name in enumerate(names) for key, fact in facts.items()]
+    row = df.selectExpr(
+        *[
+            f"{fact.format(c=f'`{name}`', name=name)} AS `{i}_{key}`"
+            for i, name in enumerate(names)
+            for key, fact in facts.items()
+        ]
     )
-    entries = [
-        F.struct(F.lit(name).alias("column_name"), *[F.col(f"{i}_{key}").alias(key) for key in facts])
+    entries = ", ".join(
+        f"struct('{name}' AS column_name, " + ", ".join(f"`{i}_{key}` AS {key}" for key in facts) + ")"
         for i, name in enumerate(names)
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    )
+    return row.selectExpr(f"inline(array({entries}))")
+
+
+def _one_row_per_value(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Columns (column_name, value), a row for each cell of the named columns."""
+    entries = ", ".join(
+        f"struct('{name}' AS column_name, CAST(`{name}` AS DOUBLE) AS value)" for name in names
+    )
+    return df.selectExpr(f"inline(array({entries}))")
 
 
 def null_report(df: DataFrame) -> DataFrame:
     """NULLs per column and their share in percent, in a single pass."""
     counted = _one_row_per_column(
-        df,
-        df.columns,
-        {"rows": lambda _: F.count(F.lit(1)), "null_count": lambda c: F.count_if(F.col(c).isNull())},
+        df, df.columns, {"rows": "count(1)", "null_count": "count_if({c} IS NULL)"}
     )
-    share = F.try_divide(F.col("null_count") * 100, F.col("rows"))
-    return counted.select(
-        F.col("column_name").alias("feature_name"),
+    return counted.selectExpr(
+        "column_name AS feature_name",
         "null_count",
-        F.round(share, 2).alias("null_percent"),
+        "round(try_divide(null_count * 100, rows), 2) AS null_percent",
     )
 
 
 def schema_report(df: DataFrame) -> DataFrame:
     """Name and type of each column, with how many of its values are set."""
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return _one_row_per_column(
-        df,
-        df.columns,
-        {"data_type": lambda c: F.max(F.lit(types[c])), "value_count": lambda c: F.count(c)},
+    counted = _one_row_per_column(df, df.columns, {"value_count": "count({c})"})
+    types = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}'" for f in df.schema.fields)
+    return counted.selectExpr(
+        "column_name", f"element_at(map({types}), column_name) AS data_type", "value_count"
     )
 
 
@@ -67,11 +83,11 @@ def describe_numeric(df: DataFrame, names: Sequence[str] | None = None) -> DataF
         df,
         names or numeric_columns(df),
         {
-            "value_count": lambda c: F.count(c),
-            "mean": lambda c: F.avg(c),
-            "stddev": lambda c: F.stddev_samp(c),
-            "min": lambda c: F.min(F.col(c).cast("double")),
-            "max": lambda c: F.max(F.col(c).cast("double")),
+            "value_count": "count({c})",
+            "mean": "avg({c})",
+            "stddev": "stddev_samp({c})",
+            "min": "CAST(min({c}) AS DOUBLE)",
+            "max": "CAST(max({c}) AS DOUBLE)",
         },
     )
 
@@ -81,11 +97,7 @@ def describe_text(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
     return _one_row_per_column(
         df,
         names or text_columns(df),
-        {
-            "value_count": lambda c: F.count(c),
-            "min": lambda c: F.min(c),
-            "max": lambda c: F.max(c),
-        },
+        {"value_count": "count({c})", "min": "min({c})", "max": "max({c})"},
     )
 
 
@@ -95,24 +107,13 @@ def summary(df: DataFrame, names: Sequence[str]) -> DataFrame:
         df,
         names,
         {
-            "mean": lambda c: F.avg(c),
-            "max": lambda c: F.max(F.col(c).cast("double")),
-            "min": lambda c: F.min(F.col(c).cast("double")),
+            "mean": "avg({c})",
+            "max": "CAST(max({c}) AS DOUBLE)",
+            "min": "CAST(min({c}) AS DOUBLE)",
         },
     )
-    long = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("column_name"), F.col(name).cast("double").alias("value")
-                    )
-                    for name in names
-                ]
-            )
-        )
-    )
-    medians = quantiles(long, "value", {"median": 0.5}, ["column_name"])
+    values = _one_row_per_value(df, names)
+    medians = quantiles(values, "value", {"median": 0.5}, ["column_name"])
     return plain.join(medians.select("column_name", "median"), "column_name", "left")
 
 
@@ -136,29 +137,52 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def correlations(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of each pair of columns over the rows that have both.
 
-    One pass; the pairs are unfolded next to the partial aggregate, which leaves
-    one row per pair and task to shuffle.
+    The moments of all pairs are matrix products, taken per Arrow batch and
+    added up per task; a task hands on one row per pair. Values are measured
+    from the column means, which a first pass gives.
     """
     names = list(names or numeric_columns(df))
-    pairs = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                F.lit(j).alias("j"),
-                F.col(a).cast("double").alias("x"),
-                F.col(b).cast("double").alias("y"),
-            )
-            for (i, a), (j, b) in combinations_with_replacement(enumerate(names), 2)
-        ]
+    values = df.selectExpr(*[f"CAST(`{name}` AS DOUBLE) AS `{name}`" for name in names])
+    means = values.agg(*[F.avg(name).alias(name) for name in names]).first()
+    centre = np.array([0.0 if mean is None else mean for mean in means])
+    upper = np.triu_indices(len(names))
+
+    def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, len(names), len(names)))
+        for batch in batches:
+            raw = batch.to_numpy(dtype="float64") - centre
+            there = (~np.isnan(raw)).astype("float64")
+            x = np.nan_to_num(raw)
+            left, squares = x.T @ there, (x * x).T @ there
+            total += np.stack([there.T @ there, left, left.T, squares, squares.T, x.T @ x])
+        columns = dict(zip(_MOMENTS, (table[upper] for table in total)))
+        yield pd.DataFrame({"i": upper[0], "j": upper[1], **columns})
+
+    schema = "i int, j int, " + ", ".join(f"{name} double" for name in _MOMENTS)
+    sums = (
+        values.mapInPandas(moments, schema)
+        .groupBy("i", "j")
+        .agg(*[F.sum(name).alias(name) for name in _MOMENTS])
     )
-    half = df.select(F.inline(pairs)).groupBy("i", "j").agg(F.corr("x", "y").alias("r"))
-    labels = F.array(*[F.lit(name) for name in names])
-    both = half.select("i", "j", "r").unionByName(
-        half.filter("i <> j").select(F.col("j").alias("i"), F.col("i").alias("j"), "r")
+    labels = ", ".join(f"'{name}'" for name in names)
+    half = sums.selectExpr(
+        "i",
+        "j",
+        "xx - x * try_divide(x, n) AS var_x",
+        "yy - y * try_divide(y, n) AS var_y",
+        "xy - x * try_divide(y, n) AS cov",
+        "xx",
+        "yy",
+    ).selectExpr(
+        "i",
+        "j",
+        # What is left of a constant column is rounding noise.
+        "if(var_x > 1e-12 * xx AND var_y > 1e-12 * yy, cov / sqrt(var_x * var_y), NULL) AS r",
     )
-    return both.select(
-        F.get(labels, F.col("i")).alias("column_a"),
-        F.get(labels, F.col("j")).alias("column_b"),
+    both = half.selectExpr("i", "j", "r", "explode(if(i = j, array(0), array(0, 1))) AS side")
+    return both.selectExpr(
+        f"get(array({labels}), if(side = 0, i, j)) AS column_a",
+        f"get(array({labels}), if(side = 0, j, i)) AS column_b",
         "r",
     )
 
@@ -228,10 +252,7 @@ def histograms(df: DataFrame, names: Sequence[str] | None = None, bins: int = 50
     extents = _one_row_per_column(
         df,
         names,
-        {
-            "least": lambda c: F.min(F.col(c).cast("double")),
-            "greatest": lambda c: F.max(F.col(c).cast("double")),
-        },
+        {"least": "CAST(min({c}) AS DOUBLE)", "greatest": "CAST(max({c}) AS DOUBLE)"},
     )
     single = F.col("least") == F.col("greatest")
     extents = extents.filter(F.col("least").isNotNull()).select(
@@ -239,18 +260,7 @@ def histograms(df: DataFrame, names: Sequence[str] | None = None, bins: int = 50
         F.when(single, F.col("least") - 0.5).otherwise(F.col("least")).alias("low"),
         F.when(single, F.col("greatest") + 0.5).otherwise(F.col("greatest")).alias("high"),
     ).withColumn("width", (F.col("high") - F.col("low")) / bins)
-    long = df.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(name).alias("column_name"), F.col(name).cast("double").alias("value")
-                    )
-                    for name in names
-                ]
-            )
-        )
-    ).filter(F.col("value").isNotNull())
+    long = _one_row_per_value(df, names).filter("value IS NOT NULL")
     first = F.least(
         F.floor((F.col("value") - F.col("low")) / F.col("width")), F.lit(bins - 1)
     ).cast("int")

@@ -29,7 +29,7 @@ from ..sources.tables import (
 )
 from . import models
 from .flight_weather import flight_weather, nearest_stations, with_stations, with_window_bounds
-from .training import LABEL, SCALED, Prepared, assembler, feature_columns, prepare, stored
+from .training import LABEL, SCALED, Prepared, assembler, prepare, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,8 +63,9 @@ def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flight_weather(spark: SparkSession, sf_dir: str, counts: bool = False) -> DataFrame:
+    flights = _clean_flights(spark, sf_dir)
     return flight_weather(
-        _clean_flights(spark, sf_dir),
+        derived.finished(flights, flights.columns),
         _nearest(spark, sf_dir),
         clean.clean_weather(derived.weather(spark, sf_dir)),
         counts=counts,

@@ -12,17 +12,14 @@ from ..functions.geo import LOWER_48, Box
 from ..operators.clean import MEASURES
 from ..operators.nearest import nearest_join
 from ..operators.windows import window_means
-from ..session import shared_dir
-from ..sources.tables import broadcast_if_small
+from ..sources.tables import broadcast_if_small, materialize
 
 ROLES = {"origin": "dep", "dest": "arr"}
 
 
 def nearest_stations(airports: DataFrame, stations: DataFrame, box: Box = LOWER_48) -> DataFrame:
-    """The nearest station of each airport, checkpointed: it is small, and three
-    joins read it."""
-    shared_dir(airports.sparkSession)
-    return nearest_join(airports, stations, box).checkpoint()
+    """The nearest station of each airport, as a written table: three joins read it."""
+    return materialize(nearest_join(airports, stations, box), "nearest")
 
 
 def with_window_bounds(flights: DataFrame, window_hours: int = 10) -> DataFrame:
@@ -77,10 +74,18 @@ def flight_weather(
 
     A flight without observations keeps NULL means. ``counts`` adds how many
     observations each window held.
+
+    The means are written and read back. Both joins then read the finished
+    table: broadcast where its size allows, else shuffled with nothing between
+    shuffle and join, so that adaptive execution can split the flights of a hot
+    station and block.
     """
-    used = broadcast_if_small(nearest.select(F.col("station_id").alias("station")).distinct())
-    means = window_means(
-        weather.join(used, "station", "left_semi"), measures, blocks, window_hours
+    used = broadcast_if_small(nearest.select(F.col("station_id").alias("station")))
+    means = materialize(
+        window_means(
+            weather.join(used, "station", "left_semi"), measures, blocks, window_hours
+        ),
+        "window-means",
     )
     merged = with_stations(flights, nearest)
     for role, side in ROLES.items():

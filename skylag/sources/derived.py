@@ -88,18 +88,23 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def finished(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The same rows, with the named columns computed once and for all.
+
+    They pass through a generator of one row, which stands for the scan of a
+    stored table. Otherwise the derivation would be repeated inside every filter
+    and column that reads it, and grow into one function with the joins above.
+    """
+    others = [name for name in df.columns if name not in columns]
+    rows = F.transform(F.array(F.struct(*columns)), lambda row: row)
+    return df.select(*others, F.inline(rows))
+
+
 PACKED = ["wnd", "cig", "vis", "tmp", "dew", "slp"]
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One observation per event.
-
-    The packed strings pass through a generator of one row. Filters on them stay
-    above it, as above the scan of a stored table; otherwise Spark would repeat
-    the text building inside every filter and column that reads them.
-    """
+    """One observation per event. Filters on time and place act before the packed
+    strings are made."""
     rows = spark.sql(WEATHER_SQL, events=table(spark, sf_dir, "events"))
-    return rows.select(
-        *[name for name in rows.columns if name not in PACKED],
-        F.inline(F.array(F.struct(*PACKED))),
-    )
+    return finished(rows, PACKED)

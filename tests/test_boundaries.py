@@ -1,0 +1,142 @@
+"""Hand-made rows at the edges of each rule."""
+
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from skylag.functions.blocks import (
+    TIME_BLOCKS,
+    block_code,
+    known_block_code,
+    window_end,
+    window_start,
+)
+from skylag.functions.flags import (
+    is_arrival_rush,
+    is_departure_rush,
+    is_late,
+    is_rush_month,
+    packed_number,
+)
+from skylag.functions.geo import LOWER_48, US_BOXES, haversine_km, in_any_box, longitude_zone
+from skylag.operators import clean
+from skylag.operators.encode import categories, dummies
+
+
+def column(spark, values, kind, expression):
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    return [r[0] for r in rows.orderBy("i").select(expression(F.col("v"))).collect()]
+
+
+def test_late_is_strictly_more_than_fifteen(spark):
+    assert column(spark, [14.0, 15.0, 15.5, 16.0, None], "double", is_late) == [0, 0, 1, 1, 0]
+    assert column(spark, [15.0, 30.0, 31.0], "double", lambda v: is_late(v, 30)) == [0, 0, 1]
+
+
+def test_rush_hours_hold_both_ends(spark):
+    times = [1459, 1500, 2000, 2001, None]
+    assert column(spark, times, "int", is_departure_rush) == [0, 1, 1, 0, 0]
+    times = [1559, 1600, 2200, 2201, None]
+    assert column(spark, times, "int", is_arrival_rush) == [0, 1, 1, 0, 0]
+    assert column(spark, [5, 6, 8, 9, None], "int", is_rush_month) == [0, 1, 1, 0, 0]
+
+
+def test_zone_borders_belong_to_no_zone(spark):
+    lons = [-110.1, -110.0, -100.0, -90.0, -89.9, None]
+    west, mid, east = (
+        column(spark, lons, "double", lambda v, z=zone: longitude_zone(v)[z])
+        for zone in ("west", "mid", "east")
+    )
+    assert west == [1, 0, 0, 0, 0, 0]
+    assert mid == [0, 0, 1, 0, 0, 0]
+    assert east == [0, 0, 0, 0, 1, 0]
+
+
+def test_box_edges_are_outside(spark):
+    lat = lambda v: LOWER_48.holds(v, F.lit(-100.0))
+    assert column(spark, [24.45, 24.46, 49.46, 49.45], "double", lat) == [False, True, False, True]
+    lon = lambda v: in_any_box(F.lit(14.5), v)
+    assert column(spark, [144.5, 145.0], "double", lon) == [False, False]
+    lon = lambda v: in_any_box(F.lit(13.5), v)
+    assert column(spark, [144.0, 144.5, 145.0], "double", lon) == [False, True, False]
+
+
+def test_us_boxes_are_disjoint():
+    for i, a in enumerate(US_BOXES):
+        for b in US_BOXES[i + 1 :]:
+            apart = a.east <= b.west or b.east <= a.west or a.north <= b.south or b.north <= a.south
+            assert apart
+
+
+def test_packed_fields(spark):
+    texts = ["+0056,1", "-0009,1", "", "1,2", None, "abc,1"]
+    first = column(spark, texts, "string", lambda v: packed_number(v, 0))
+    assert first == [56.0, -9.0, None, 1.0, None, None]
+    fields = ["090,1,N,0051,1", "1,2", "", None]
+    assert column(spark, fields, "string", lambda v: packed_number(v, 3)) == [51.0, None, None, None]
+
+
+@pytest.mark.parametrize("measure,field,position,codes", clean.WEATHER_MEASURES)
+def test_each_missing_code_drops_the_row(spark, measure, field, position, codes):
+    good = {name: 1.0 for name in clean.MEASURES}
+    rows = [good] + [{**good, measure: float(code)} for code in codes] + [{**good, measure: None}]
+    schema = ", ".join(f"{name} double" for name in clean.MEASURES)
+    kept = clean.drop_missing_measures(spark.createDataFrame(rows, schema)).count()
+    assert kept == 1
+
+
+def test_flown_drops_unknown_flags(spark):
+    rows = [(1, False, False), (2, True, False), (3, False, True), (4, None, False), (5, False, None)]
+    df = spark.createDataFrame(rows, "flight_id int, cancelled boolean, diverted boolean")
+    assert [r.flight_id for r in clean.flown(df).collect()] == [1]
+
+
+def test_arrival_status_counts_cancelled_as_delayed(spark):
+    rows = [(16, False, False), (15, False, False), (None, True, False), (None, None, None)]
+    df = spark.createDataFrame(rows, "arr_delay int, cancelled boolean, diverted boolean")
+    got = [r.arrival_status for r in clean.arrival_status(df).collect()]
+    assert got == ["delayed", "on time", "delayed", "on time"]
+
+
+def test_window_bounds(spark):
+    df = spark.createDataFrame(
+        [(date(2024, 1, 2), "0001-0559"), (date(2024, 1, 2), "1500-1559"), (date(2024, 1, 2), None)],
+        "day date, blk string",
+    )
+    got = df.select(
+        window_start(F.col("day"), F.col("blk")).alias("s"), window_end(F.col("day"), F.col("blk")).alias("e")
+    ).collect()
+    assert got[0].s == datetime(2024, 1, 1, 14, 1) and got[0].e == datetime(2024, 1, 2, 4, 59)
+    assert got[1].s == datetime(2024, 1, 2, 5, 0) and got[1].e == datetime(2024, 1, 2, 14, 59)
+    assert got[2].s is None and got[2].e is None
+
+
+def test_block_codes(spark):
+    labels = [TIME_BLOCKS[0], "0600-0659", "2300-2359", "0700-0800", None]
+    assert column(spark, labels, "string", block_code) == [0, 1, 18, None, None]
+    assert len(TIME_BLOCKS) == 19
+    assert column(spark, ["0600-0659", None], "string", known_block_code) == [1, None]
+    with pytest.raises(Exception, match="not in the list"):
+        column(spark, ["0700-0800"], "string", known_block_code)
+
+
+def test_haversine_quarter_of_the_globe(spark):
+    km = spark.range(1).select(
+        haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(90.0)),
+        haversine_km(F.lit(10.0), F.lit(20.0), F.lit(10.0), F.lit(20.0)),
+        haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(180.0)),
+    ).first()
+    assert km[0] == pytest.approx(6371 * 3.141592653589793 / 2)
+    assert km[1] == 0
+    assert km[2] == pytest.approx(6371 * 3.141592653589793)
+
+
+def test_dummies_for_absent_and_null_values(spark):
+    df = spark.createDataFrame([("AA",), ("UA",), (None,)], "carrier string")
+    columns = dummies("carrier", ["AA", "ZZ"])
+    got = [tuple(r) for r in df.select(*[c.alias(n) for n, c in columns.items()]).collect()]
+    assert got == [(1, 0), (0, 0), (0, 0)]
+    assert categories(df, "carrier") == ["AA", "UA"]
+    with pytest.raises(ValueError):
+        categories(df, "carrier", most=1)
