@@ -29,7 +29,7 @@ from ..sources.tables import (
 )
 from . import models
 from .flight_weather import flight_weather, nearest_stations, with_stations, with_window_bounds
-from .training import LABEL, SCALED, Prepared, assembler, prepare, stored
+from .training import LABEL, SCALED, Prepared, assembler, feature_columns, prepare, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,7 +39,7 @@ PROFILED = [
     "arr_time", "arr_delay", *clean.DELAY_CAUSES, "crs_elapsed_time", "distance",
 ]
 
-_stored_merges: dict[tuple[str, str], DataFrame] = {}
+stored_merges: dict[tuple[str, str], DataFrame] = {}
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -72,16 +72,16 @@ def _flight_weather(spark: SparkSession, sf_dir: str, counts: bool = False) -> D
     )
 
 
-def _merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+def merged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The merged table, written once per session and read by all later steps."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _stored_merges:
-        _stored_merges[key] = materialize(_flight_weather(spark, sf_dir), "merged", ["year"])
-    return _stored_merges[key]
+    if key not in stored_merges:
+        stored_merges[key] = materialize(_flight_weather(spark, sf_dir), "merged", ["year"])
+    return stored_merges[key]
 
 
 def _prepared(spark: SparkSession, sf_dir: str, draw=None) -> Prepared:
-    return prepare(_merged(spark, sf_dir), derived.TEST_YEAR, derived.CARRIERS, draw)
+    return prepare(merged_table(spark, sf_dir), derived.TEST_YEAR, derived.CARRIERS, draw)
 
 
 # Sources and sinks
@@ -329,7 +329,7 @@ def period_count_box(spark, sf_dir):
 
 
 def null_report(spark, sf_dir):
-    return profile.null_report(_merged(spark, sf_dir))
+    return profile.null_report(merged_table(spark, sf_dir))
 
 
 def distinct_categories(spark, sf_dir):
@@ -373,7 +373,7 @@ def surrogate_id(spark, sf_dir):
 
 
 def _training_rows(spark, sf_dir):
-    train, _ = split_by_year(_merged(spark, sf_dir), derived.TEST_YEAR)
+    train, _ = split_by_year(merged_table(spark, sf_dir), derived.TEST_YEAR)
     return train.select("flight_id", LABEL)
 
 
@@ -404,7 +404,7 @@ def minmax_test(spark, sf_dir):
 
 def features(spark, sf_dir):
     """Size and element sum of the feature vectors of the test rows."""
-    test = stored(_modular(spark, sf_dir)).test
+    test = _for_models(_modular(spark, sf_dir)).test
     vectors = assembler(derived.CARRIERS).transform(test)
     elements = vector_to_array("features")
     return rounded(
@@ -432,9 +432,13 @@ def small_candidates() -> dict[str, models.Candidate]:
     return {candidate.name: candidate for candidate in chosen}
 
 
+def _for_models(prepared: Prepared) -> Prepared:
+    return stored(prepared, ["flight_id", LABEL, *feature_columns(derived.CARRIERS)])
+
+
 def _model(name: str) -> Query:
     def query(spark, sf_dir):
-        prepared = stored(_prepared(spark, sf_dir))
+        prepared = _for_models(_prepared(spark, sf_dir))
         scored = models.train_and_score(small_candidates()[name], prepared, derived.CARRIERS)
         return scored.select("flight_id", F.col(LABEL).cast("double").alias("label"), "prediction")
 
@@ -442,7 +446,7 @@ def _model(name: str) -> Query:
 
 
 def leaderboard(spark, sf_dir):
-    prepared = stored(_prepared(spark, sf_dir))
+    prepared = _for_models(_prepared(spark, sf_dir))
     candidates = list(small_candidates().values())
     return rounded(models.leaderboard(candidates, prepared, derived.CARRIERS))
 
