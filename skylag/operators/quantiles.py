@@ -3,7 +3,8 @@
 Values are counted first, which combines on the map side, and the ranks are
 found on the counts. A group that holds most of the rows is thus cut down to its
 distinct values (whole minutes, for delays) before it meets in one task, and the
-running sum over those streams through a sort that can spill.
+running sum over those streams through a sort that can spill. Values that are
+not few, such as measured ones, are ranked in parts: see ``parts``.
 """
 
 from __future__ import annotations
@@ -14,15 +15,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _ranked(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """Distinct values with the ranks they take: from ``first`` to before ``past``."""
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*group, F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("times"))
+def _counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
+    known = df.filter(F.col(value).isNotNull())
+    return known.groupBy(*group, F.col(value).cast("double").alias("v")).agg(
+        F.count(F.lit(1)).alias("times")
     )
-    upward = Window.partitionBy(*group).orderBy("v")
-    running = counts.withColumn("past", F.sum("times").over(upward))
+
+
+def _ranked(counts: DataFrame, group: Sequence[str], parts: int) -> DataFrame:
+    """Distinct values with the ranks they take: from ``first`` to before ``past``."""
+    if parts == 1:
+        upward = Window.partitionBy(*group).orderBy("v")
+        running = counts.withColumn("past", F.sum("times").over(upward))
+    else:
+        shares = [i / parts for i in range(1, parts)]
+        edges = counts.groupBy(*group).agg(F.percentile_approx("v", shares).alias("edges"))
+        parted = counts.join(edges, list(group)).select(
+            *group, "v", "times", F.expr("size(filter(edges, edge -> edge < v))").alias("part")
+        )
+        earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(
+            Window.unboundedPreceding, -1
+        )
+        sizes = parted.groupBy(*group, "part").agg(F.sum("times").alias("size"))
+        offsets = sizes.select(
+            *group, "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before")
+        )
+        upward = Window.partitionBy(*group, "part").orderBy("v")
+        running = parted.join(offsets, [*group, "part"]).select(
+            *group,
+            "v",
+            "times",
+            (F.col("before") + F.sum("times").over(upward)).alias("past"),
+        )
     return running.withColumn("first", F.col("past") - F.col("times"))
 
 
@@ -35,10 +59,18 @@ def _interpolated(probability: float, at_rank: Column, total: Column) -> Column:
 
 
 def quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], group: Sequence[str]
+    df: DataFrame,
+    value: str,
+    probabilities: dict[str, float],
+    group: Sequence[str],
+    parts: int = 1,
 ) -> DataFrame:
-    """Exact interpolated quantiles of a column per group, by output name."""
-    ranked = _ranked(df, group, value)
+    """Exact interpolated quantiles of a column per group, by output name.
+
+    With ``parts`` above 1 a group's distinct values are ranked in that many
+    tasks, cut at approximate quantiles; the result is the same.
+    """
+    ranked = _ranked(_counts(df, group, value), group, parts)
     totals = ranked.groupBy(*group).agg(F.max("past").alias("total"))
     joined = ranked.join(totals, list(group))
     found = []
@@ -60,17 +92,15 @@ def quantiles(
     )
 
 
-def box_summary(df: DataFrame, group: str, value: str, reach: float = 1.5) -> DataFrame:
+def box_summary(
+    df: DataFrame, group: str, value: str, reach: float = 1.5, parts: int = 1
+) -> DataFrame:
     """Quartiles, whiskers and outliers per group, as a box plot draws them.
 
     Whiskers end at the last value within ``reach`` interquartile ranges.
     """
-    quartiles = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group])
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(group, F.col(value).cast("double").alias("v"))
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
+    quartiles = quantiles(df, value, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group], parts)
+    counts = _counts(df, [group], value)
     margin = (F.col("q3") - F.col("q1")) * reach
     inside = F.col("v").between(F.col("q1") - margin, F.col("q3") + margin)
     return (

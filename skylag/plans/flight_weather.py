@@ -50,6 +50,7 @@ def with_stations(flights: DataFrame, nearest: DataFrame) -> DataFrame:
     lookup = broadcast_if_small(
         nearest.select("airport_id", "station_id", "airport_lat", "airport_lon")
     )
+    names = list(flights.columns)
     for role in ROLES:
         airport = lookup.select(
             F.col("airport_id").alias(role),
@@ -57,8 +58,9 @@ def with_stations(flights: DataFrame, nearest: DataFrame) -> DataFrame:
             F.col("airport_lat").alias(f"{role}_airport_lat"),
             F.col("airport_lon").alias(f"{role}_airport_lon"),
         )
+        names += airport.columns[1:]
         flights = flights.join(airport, role)
-    return flights
+    return flights.select(*names)
 
 
 def flight_weather(
@@ -88,6 +90,7 @@ def flight_weather(
         "window-means",
     )
     merged = with_stations(flights, nearest)
+    names = list(merged.columns)
     for role, side in ROLES.items():
         columns = [F.col(name).alias(f"{side}_{name}") for name in measures]
         if counts:
@@ -103,5 +106,6 @@ def flight_weather(
         )
         merged = keyed.join(
             window, [f"{role}_station_id", "fl_date", f"{side}_block"], "left"
-        ).drop(f"{side}_block")
-    return merged
+        )
+        names += window.columns[3:]
+    return merged.select(*names)

@@ -56,12 +56,13 @@ def write_parquet(
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table to the shared folder and read it back, to cut the plan there.
 
-    Later steps then read files, also after executors were lost.
+    Later steps then read files, also after executors were lost. The schema is
+    known, so reading starts no job.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     write_parquet(df, path, partition_by)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def sql_over(spark: SparkSession, views: Mapping[str, DataFrame], text: str) -> DataFrame:

@@ -63,11 +63,14 @@ def test_histogram_of_a_constant(spark):
     assert sum(r.n for r in rows) == 2
 
 
-def test_quantiles(df, frame):
-    rows = quantiles(df, "y", {"p10": 0.1, "median": 0.5, "p99": 0.99}, ["g"]).collect()
+@pytest.mark.parametrize("value", ["x", "y", "z"])
+@pytest.mark.parametrize("parts", [1, 7])
+def test_quantiles(df, frame, value, parts):
+    probabilities = {"p10": 0.1, "median": 0.5, "p99": 0.99}
+    rows = quantiles(df, value, probabilities, ["g"], parts).collect()
     assert len(rows) == 3
     for r in rows:
-        values = frame[frame.g == r.g].y.dropna()
+        values = frame[frame.g == r.g][value].dropna()
         assert r.n == len(values)
         assert [r.p10, r.median, r.p99] == pytest.approx(list(np.quantile(values, [0.1, 0.5, 0.99])))
 
