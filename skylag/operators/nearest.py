@@ -24,10 +24,14 @@ _SALTS = 4
 _BROADCAST_CELLS = 1_100_000
 
 
+def _inside(df: DataFrame, id_col: str, lat: str, lon: str, box: Box) -> DataFrame:
+    chosen = df.selectExpr(f"{id_col} AS id", f"{lat} AS lat", f"{lon} AS lon")
+    return chosen.filter(box.holds(F.col("lat"), F.col("lon")))
+
+
 def points(df: DataFrame, id_col: str, lat: str, lon: str, box: Box) -> DataFrame:
     """Distinct points (id, lat, lon) inside the box."""
-    chosen = df.select(F.col(id_col).alias("id"), F.col(lat).alias("lat"), F.col(lon).alias("lon"))
-    return chosen.filter(box.holds(F.col("lat"), F.col("lon"))).distinct()
+    return _inside(df, id_col, lat, lon, box).distinct()
 
 
 def _cell(size: float, lat: str = "lat", lon: str = "lon") -> tuple[str, str]:
@@ -108,9 +112,9 @@ def nearest_join(
     Gives ``airport_id, station_id, haversine, airport_lat, airport_lon``.
     """
     every_salt = f"explode(sequence(0, {_SALTS - 1})) AS salt"
+    spots = _inside(right, *right_cols, box)
     places = (
-        points(right, *right_cols, box)
-        .groupBy("lat", "lon")
+        spots.groupBy("lat", "lon")
         .agg(F.min("id").alias("station_id"))
         .selectExpr(
             "station_id",
@@ -120,15 +124,17 @@ def nearest_join(
             every_salt,
         )
     )
-    spots = right.select(F.col(right_cols[1]).alias("lat"), F.col(right_cols[2]).alias("lon"))
-    spots = spots.filter(box.holds(F.col("lat"), F.col("lon")))
 
     def occupied(size: float, outer_size: float) -> DataFrame:
         """Cells with a right point, each with the coarser cell around it."""
         ratio = int(outer_size / size)
         cells = spots.selectExpr(*_cell(size)).distinct()
         nested = cells.selectExpr(
-            f"CAST(r DIV {ratio} AS INT) AS outer_r", f"CAST(c DIV {ratio} AS INT) AS outer_c", "r", "c", every_salt
+            f"CAST(r DIV {ratio} AS INT) AS outer_r",
+            f"CAST(c DIV {ratio} AS INT) AS outer_c",
+            "r",
+            "c",
+            every_salt,
         )
         bounded = (180 / size + 1) * (360 / size + 1) * _SALTS <= _BROADCAST_CELLS
         return F.broadcast(nested) if bounded else nested

@@ -6,7 +6,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -214,29 +214,26 @@ def ordinary_delays(df: DataFrame, delay: str, below: float = 120) -> DataFrame:
     ).selectExpr(delay)
 
 
-def _bin(value: Column, low: Column, width: Column, bins: int) -> Column:
-    """Number of the equal-width bin; the last bin holds its upper edge."""
-    place = F.floor(F.try_divide(value - low, width))
-    return F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
-
-
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
-    """Equal-width histogram from the least to the greatest value, empty bins too."""
-    value = F.col(column).cast("double")
-    known = df.filter(value.isNotNull()).select(value.alias("value"))
-    extent = known.agg(F.struct(F.min("value").alias("low"), F.max("value").alias("high"))).scalar()
-    low, width = extent["low"], (extent["high"] - extent["low"]) / bins
-    counts = (
-        known.groupBy(_bin(F.col("value"), low, width, bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    """Equal-width histogram from the least to the greatest value, empty bins too.
+
+    The last bin holds its upper edge. Two passes: the extent, of which two
+    numbers come back, and the counts.
+    """
+    known = df.selectExpr(f"CAST({column} AS DOUBLE) AS value").filter("value IS NOT NULL")
+    low, high = known.agg(F.min("value"), F.max("value")).first()
+    width = None if low is None else (high - low) / bins
+    low, high, width = (F.lit(number).cast("double") for number in (low, high, width))
+    place = F.floor(F.try_divide(F.col("value") - low, width))
+    place = F.coalesce(F.least(place, F.lit(bins - 1)), F.lit(0)).cast("int")
+    counts = known.groupBy(place.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    last = F.col("bin") == bins - 1
+    # No more counts than bins.
     return every.join(F.broadcast(counts), "bin", "left").select(
         "bin",
         (low + F.col("bin") * width).alias("bin_low"),
-        F.when(F.col("bin") == bins - 1, extent["high"])
-        .otherwise(low + (F.col("bin") + 1) * width)
-        .alias("bin_high"),
+        F.when(last, high).otherwise(low + (F.col("bin") + 1) * width).alias("bin_high"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 
