@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.geo import EARTH_RADIUS_KM, LOWER_48, Box, haversine_km
 
 # Cell sizes in degrees; all are powers of two, so that cells nest exactly.
-CELL_DEGREES = (8.0, 0.5, 0.03125)
+CELL_DEGREES = (8.0, 0.5, 0.03125, 0.00390625)
 
 # Distances that agree to the millimetre are ties; pruning leaves room for them.
 _TIE_DIGITS = 6
@@ -106,7 +106,7 @@ def nearest_join(
     equi-join on cell numbers, so the work grows with left points times a few
     cells, not with left times right. Right points at one place count once, by
     their smallest id, which is also the one that wins a tie. Coordinates with
-    three decimals leave at most 1,024 places in a finest cell. Left points that
+    three decimals leave at most 16 places in a finest cell. Left points that
     crowd in one cell are spread over salts.
 
     Gives ``airport_id, station_id, haversine, airport_lat, airport_lon``.
