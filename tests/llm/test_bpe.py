@@ -1,0 +1,76 @@
+import hashlib
+import sys
+from pathlib import Path
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+sys.path.insert(0, str(Path(__file__).parent))
+from llm_cases import DOCUMENTS, documents, saved, table  # noqa: E402
+
+from skylag.llm import bpe  # noqa: E402
+from skylag.llm.queries import QUERIES  # noqa: E402
+
+RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+RANKS = bpe.read_ranks(Path(RANK_FILE).read_bytes())
+OWN = bpe.ByteBpe(RANKS, public_tokenizers.PATTERN)
+OTHER = tiktoken.Encoding(
+    "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={}
+)
+ODD = ["", None, " ", "\n\n  x", "a   b", "a\n  b", "x" * 5000, "  ", "don't 'll", "é漢🙂\x00\x1c"]
+
+
+def digest(ids):
+    return hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=" \n\t\r\x0b\x1c\x85\xa0aZé'st漢🙂1٣-._́", max_size=24))
+def test_ids_equal_those_of_the_other_library(text):
+    ids = list(memoryview(OWN.encode(text)).cast("i"))
+    assert ids == OTHER.encode_ordinary(text)
+    assert OWN.decode(__import__("numpy").asarray(ids)) == text.encode()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    assert list(memoryview(OWN.encode(text)).cast("i")) == OTHER.encode_ordinary(text)
+
+
+def test_ranks_with_gaps_are_refused():
+    with pytest.raises(ValueError):
+        bpe.sentencepiece_model({b"a": 0, b"b": 2})
+
+
+def test_query_equals_the_other_library(spark, sf_dir):
+    found = {r.doc_id: r for r in QUERIES["op1_byte_bpe"](spark, sf_dir).collect()}
+    rows = table(sf_dir, "documents")
+    assert len(found) == len(rows)
+    for doc_id, text, *_ in rows:
+        ids = OTHER.encode_ordinary(text)
+        got = found[doc_id]
+        assert (got.n_tokens, got.ids_sha256) == (len(ids), digest(ids))
+        assert got.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_odd_texts(spark, tmp_path):
+    folder = saved(spark, tmp_path, documents(ODD + ODD), DOCUMENTS)
+    found = {r.doc_id: r for r in QUERIES["op1_byte_bpe"](spark, folder).collect()}
+    for i, text in enumerate(ODD + ODD):
+        ids = OTHER.encode_ordinary(text or "")
+        assert (found[i].n_tokens, found[i].ids_sha256) == (len(ids), digest(ids))
+        assert found[i].decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_empty_table_clashing_columns_and_null_ids(spark):
+    df = spark.createDataFrame([], "text string, ids string, decoded int")
+    out = bpe.decode(
+        bpe.encode(df, RANK_FILE, public_tokenizers.PATTERN), RANK_FILE, public_tokenizers.PATTERN
+    )
+    assert out.columns == ["text", "ids", "decoded"] and out.count() == 0
+    null = spark.createDataFrame([(None,)], "ids array<int>")
+    assert bpe.decode(null, RANK_FILE, public_tokenizers.PATTERN).first().decoded == b""
