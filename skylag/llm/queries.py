@@ -7,7 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, packing, token_output, tokens
+
+# Tokens of a training sequence.
+SEQUENCE = 4096
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,8 +28,32 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(decoded).drop("ids", "decoded")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all documents, cut into pieces, in sequences of 4096 tokens."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return packed_documents(documents)
+
+
+def packed_documents(documents: DataFrame) -> DataFrame:
+    """Pieces of documents by the word vocabulary, each document ended by id 1, and places."""
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    pieces = tokens.pieces(documents, vocabulary, 1, SEQUENCE)
+    return packing.pack_table(pieces, SEQUENCE, ["doc_id", "piece", "ids_crc32"])
+
+
+def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Packed id matrices of all documents by the English byte vocabulary, ended by id 50256."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_output.packed_matrices(
+        documents, ranks, public_tokenizers.PATTERN, 50256, SEQUENCE, 50256
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op10_token_matrices": op10_token_matrices,
 }
 
 ORACLE: dict[str, str] = {}
