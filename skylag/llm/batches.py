@@ -54,9 +54,17 @@ class Memo(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        """Remember a value."""
         if len(key) <= self.longest:
             if len(self) >= self.entries:
                 self.old = dict(self)
                 self.clear()
             self[key] = value
-        return value
+
+    def lacks(self, keys: set) -> set:
+        """The keys that are not held."""
+        return keys.difference(self, self.old)

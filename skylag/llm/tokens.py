@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import functools
+import string
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -14,35 +16,76 @@ from pyspark.sql import types as T
 
 from .batches import Memo, raw_texts, slices
 
-_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
+# Words encoded by one call, and parts remembered (some 200 bytes each, twice as many at most).
+_TOGETHER, _REMEMBERED = 1000, 500_000
+
+
+def plain_word(text: str) -> str | None:
+    """The form in which the tokenizer sees a word of letters alone; None for other texts."""
+    if "\u03a3" in text:
+        return None  # Python lower-cases this letter by its place in a word, the tokenizer does not
+    word = unicodedata.normalize("NFC", text).lower()
+    return word if word.isalpha() and unicodedata.is_normalized("NFC", word) else None
 
 
 class WordTokens:
-    """Ids by a tokenizer that drops white space, from a memo of its words.
+    """Ids by a lower-casing tokenizer that drops white space, from a memo of its words.
 
     Such a tokenizer treats what stands between white space by itself, so a text
-    is cut at ASCII white space and each part is encoded once. ASCII parts are
-    lower-cased first, as the tokenizer does, and a comma or full stop after a
-    letter or digit is a token run of its own.
+    is cut at ASCII white space and each part is encoded once. Most parts are a word of
+    letters, perhaps with punctuation after it, which is a run of its own. New words of
+    letters are encoded many at a time and told apart by the mark at a word's end.
     """
 
     def __init__(self, content: str):
         self.tokenizer = tokenizers.Tokenizer.from_str(content)
-        self.parts = Memo(self._part)
+        self.parts = Memo(self._part, _REMEMBERED)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        size = self.tokenizer.get_vocab_size()
+        names = map(self.tokenizer.id_to_token, range(size))
+        self.ends_word = np.asarray([bool(suffix) and (n or "").endswith(suffix) for n in names])
 
-    def _part(self, part: bytes) -> bytes:
-        if part.isascii():
-            lower = part.lower()
-            if len(lower) > 1 and lower[-1] in b".," and lower[-2] in _LETTERS:
-                return self.parts[lower[:-1]] + self.parts[lower[-1:]]
-            if lower != part and len(part) < 64:
-                return self.parts[lower]
-        encoded = self.tokenizer.encode(part.decode("utf-8", "replace"), add_special_tokens=False)
-        return np.asarray(encoded.ids, "<u4").tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        (encoded,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        return np.asarray(encoded.ids, "<u4")
 
-    def encode(self, text: bytes) -> bytes:
-        """Ids of a whole text as little-endian unsigned 32-bit numbers."""
-        return b"".join(map(self.parts.__getitem__, text.split()))
+    def _part(self, part: bytes) -> bytes:
+        text = part.decode("utf-8", "replace")
+        word = plain_word(text)
+        if word is None:
+            stem = text.rstrip(string.punctuation)
+            word = plain_word(stem)
+            if word is not None:
+                return self.parts[word.encode()] + self.parts[text[len(stem) :].encode()]
+        if word is not None and word != text:
+            return self.parts[word.encode()]
+        return self._ids(text).tobytes()
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Encode the new words of letters of some texts together."""
+        words = set()
+        for part in self.parts.lacks(set().union(*texts)):
+            if len(part) <= self.parts.longest:
+                text = part.decode("utf-8", "replace")
+                words.add(plain_word(text.rstrip(string.punctuation)))
+        words.discard(None)
+        new = [w.decode() for w in self.parts.lacks({w.encode() for w in words})]
+        for start in range(0, len(new), _TOGETHER):
+            some = new[start : start + _TOGETHER]
+            ids = self._ids(" ".join(some))
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(some):
+                continue  # not one run for each word: left to be encoded one by one
+            raw, begin = ids.tobytes(), 0
+            for word, end in zip(some, (4 * ends).tolist(), strict=True):
+                self.parts.put(word.encode(), raw[begin:end])
+                begin = end
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of whole texts as little-endian unsigned 32-bit numbers."""
+        split = [text.split() for text in texts]
+        self.learn(split)
+        return [b"".join(map(self.parts.__getitem__, parts)) for parts in split]
 
 
 @functools.lru_cache(maxsize=2)
@@ -88,8 +131,8 @@ def pieces(
         for batch in slices(batches):
             rows: list[int] = []
             columns: list[list] = [[], [], [], [], []]
-            for at, value in enumerate(raw_texts(batch[text])):
-                ids = encoder.encode(value) + end
+            for at, ids in enumerate(encoder.encode(raw_texts(batch[text]))):
+                ids += end
                 for number, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
                     own = ids[4 * start : 4 * (start + length)]
                     rows.append(at)

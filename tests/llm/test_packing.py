@@ -24,7 +24,7 @@ ODD = ["", None, "word", "x " * 9000, "Ça va, İstanbul ΟΔΟΣ. ΣΑΣ'Σ", "
 
 
 def word_ids(text):
-    return np.frombuffer(OWN.encode(text.encode()), "<u4").tolist()
+    return np.frombuffer(OWN.encode([text.encode()])[0], "<u4").tolist()
 
 
 @settings(max_examples=500, deadline=None)
