@@ -23,9 +23,9 @@ in blocks of ``BLOCK`` documents a task, so that no candidate pair between group
 left out and no bucket meets in one task.
 
 Defined results: NULL and empty texts have no shingles, link with nothing and are
-kept; of equal rows the smallest key represents all; rows that share a key share its
-result; a NULL key is a key that links with nothing; an empty table gives an empty
-table. Only the key and text columns are read.
+kept; of equal sets the smallest key represents all; equal rows get one result each;
+a row with a NULL key links with nothing; an empty table gives an empty table. Keys
+are to tell texts apart: of different texts under one key, one speaks for all. Only the key and text columns are read.
 """
 
 from __future__ import annotations
@@ -37,7 +37,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..sources.tables import materialize
 from .batches import raw_texts, slices
@@ -196,9 +195,7 @@ def _with_pivots(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _linked_in_block(
-    block: pa.Table, words: int, percent: int
-) -> list[tuple[int, int]]:
+def _linked_in_block(block: pa.Table, words: int, percent: int) -> list[tuple[int, int]]:
     """Links of a block that join groups; groups already joined are not compared again."""
     docs = block["doc"].to_pylist()
     groups = block["component"].to_pylist()
@@ -214,7 +211,9 @@ def _linked_in_block(
         # A pair is the business of the first band that it shares.
         first = (bands[right] == bands[i]).argmax(axis=1) == own_band[i]
         for j in right[first].tolist():
-            if docs[i] == docs[j] or joined.find(groups[i]) == joined.find(groups[j]):
+            # Within a block each pair comes up from both sides.
+            twice = side[i] == 3 and j <= i
+            if twice or joined.find(groups[i]) == joined.find(groups[j]):
                 continue
             if similar(sets[i], sets[j], percent):
                 joined.join(groups[i], groups[j])
@@ -250,8 +249,7 @@ def _across_groups(members: DataFrame, texts: DataFrame, words: int, percent: in
         """concat(
           transform(sequence(own, rest_blocks - 1),
                     j -> struct(own AS i, j AS j, IF(j = own, 3, 1) AS side)),
-          IF(own = 0, array(), transform(sequence(0, greatest(own - 1, 0)),
-                    i -> struct(i AS i, own AS j, 2 AS side))),
+          transform(filter(sequence(0, own), i -> i < own), i -> struct(i AS i, own AS j, 2 AS side)),
           transform(sequence(1, main_blocks), j -> struct(own AS i, -j AS j, 1 AS side)))"""
     )
     of_main = F.expr(
@@ -349,7 +347,7 @@ def near_duplicates(
     named = named.select("set_key", F.coalesce("component", "first").alias("component_id"))
     named = materialize(named, "named")
     out = signed.join(named, "set_key", "left")
-    component = F.coalesce("component_id", "doc")
+    component = F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc"))
     return out.select(
         F.col("doc").alias(key),
         "n_shingles",
@@ -357,7 +355,3 @@ def near_duplicates(
         F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"),
     )
 
-
-def result_fields() -> T.StructType:
-    """The columns of ``near_duplicates`` beside the key."""
-    return T.StructType.fromDDL("n_shingles long, component_id long, kept boolean")

@@ -6,11 +6,33 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-
-from . import bpe, packing, token_output, tokens
+from pyspark.sql import functions as F
+
+from . import (
+    bpe,
+    embedding_dedup,
+    html_text,
+    language,
+    line_dedup,
+    minhash,
+    neighbours,
+    packing,
+    token_output,
+    tokens,
+    urls,
+)
 
 # Tokens of a training sequence.
 SEQUENCE = 4096
+# Words of the shortest passage whose repeats are removed.
+PASSAGE_WORDS = 50
+URL_RULES = {
+    "org/": "allow",
+    "example.org/es/": "block",
+    "example.org/en/1": "block",
+    "com/fr/": "allow",
+    "com/de/": "block",
+}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +50,16 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(decoded).drop("ids", "decoded")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learned from those that are not held out."""
+    return language.predicted(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Laid-out visible text of each page."""
+    return html_text.rendered(_table(spark, sf_dir, "pages", "page_id", "html"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Places of all documents, cut into pieces, in sequences of 4096 tokens."""
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -41,6 +73,36 @@ def packed_documents(documents: DataFrame) -> DataFrame:
     return packing.pack_table(pieces, SEQUENCE, ["doc_id", "piece", "ids_crc32"])
 
 
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of each page's URL."""
+    pages = _table(spark, sf_dir, "pages", "page_id", "url")
+    return urls.judge(pages, urls.train(urls.labelled_urls(spark)), URL_RULES).drop("url")
+
+
+def op6_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 vectors of largest inner product for each whose id is divisible by 20."""
+    embeddings = _table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    return neighbours.nearest(embeddings, F.col("vec_id") % 20 == 0, k=20)
+
+
+def op7_vector_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of a label with a cosine of 0.93 or more, grouped."""
+    embeddings = _table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    return embedding_dedup.near_duplicate_vectors(embeddings, least=0.93)
+
+
+def op8_superminhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share four fifths of their two-word shingles, grouped."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return minhash.near_duplicates(documents, words=2, percent=80)
+
+
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the runs of lines, of 50 words or more, that were seen before."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return line_dedup.without_repeats(documents, min_words=PASSAGE_WORDS)
+
+
 def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed id matrices of all documents by the English byte vocabulary, ended by id 50256."""
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -52,8 +114,15 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_language_id": op2_language_id,
+    "op3_html_text": op3_html_text,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_url_filter": op5_url_filter,
+    "op6_nearest_vectors": op6_nearest_vectors,
+    "op7_vector_near_dedup": op7_vector_near_dedup,
+    "op8_superminhash_dedup": op8_superminhash_dedup,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_matrices": op10_token_matrices,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_line_dedup": line_dedup.oracle(PASSAGE_WORDS)}
