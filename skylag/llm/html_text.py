@@ -177,8 +177,7 @@ class Grid:
                         gap = max(begins.get(column, size) - size, 2 if size else 0)
                         out.append(" " * gap + lines[number])
                         size += gap + len(lines[number])
-                if size:
-                    yield "".join(out)
+                yield "".join(out)
 
 
 class Page:

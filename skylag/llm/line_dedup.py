@@ -1,6 +1,7 @@
 """Remove passages that were seen before, by winnowing over line hashes.
 
-A text is a row of lines; lines without words are left out of account and stay. A
+A text is a row of lines; lines without words are left out of account, and go only with
+a removed run around them. A
 line is a repeat if it lies in a run of consecutive lines, of at least ``min_words``
 words together, that also stands at an earlier place: in a smaller document, or
 higher up in the same one. Every repeat goes; what stands first stays.
@@ -149,23 +150,23 @@ def oracle(min_words: int = 50) -> str:
     """The same for DuckDB, by comparing the lines of all windows themselves."""
     return f"""
 WITH whole AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
-raw AS (SELECT doc_id, text, unnest(generate_series(0, len(ls) - 1)) AS at, unnest(ls) AS rawline FROM whole),
-lined AS (SELECT doc_id, text, at, trim(rawline, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) AS line FROM raw),
+raw AS (SELECT doc_id, text, unnest(generate_series(0, len(ls) - 1)) AS pos, unnest(ls) AS rawline FROM whole),
+lined AS (SELECT doc_id, text, pos, trim(rawline, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) AS line FROM raw),
 counted AS (SELECT *, 1 + len(line) - len(replace(line, ' ', '')) AS words FROM lined WHERE line <> ''),
-summed AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, text ORDER BY at) AS e FROM counted),
+summed AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, text ORDER BY pos) AS e FROM counted),
 placed AS (SELECT *, e - words AS b FROM summed),
 wins AS (
-  SELECT doc_id, text, list(line) OVER w AS content, list(at) OVER w AS places, sum(words) OVER w AS total FROM placed
+  SELECT doc_id, text, list(line) OVER w AS content, list(pos) OVER w AS places, sum(words) OVER w AS total FROM placed
     WINDOW w AS (PARTITION BY doc_id, text ORDER BY b RANGE BETWEEN CURRENT ROW AND {min_words - 1} FOLLOWING)
   UNION ALL
-  SELECT doc_id, text, list(line) OVER w, list(at) OVER w, sum(words) OVER w FROM placed
+  SELECT doc_id, text, list(line) OVER w, list(pos) OVER w, sum(words) OVER w FROM placed
     WINDOW w AS (PARTITION BY doc_id, text ORDER BY e RANGE BETWEEN {min_words - 1} PRECEDING AND CURRENT ROW)),
 marked AS (SELECT *, min((doc_id, places[1])) OVER (PARTITION BY content) AS first FROM wins WHERE total >= {min_words}),
 spans AS (SELECT DISTINCT doc_id, text, places[1] AS f, places[-1] AS t FROM marked WHERE (doc_id, places[1]) > first),
-gone AS (SELECT DISTINCT doc_id, text, unnest(generate_series(f, t)) AS at FROM spans),
-rest AS (SELECT r.doc_id, r.text, count(g.at) AS n_removed,
-    coalesce(string_agg(CASE WHEN g.at IS NULL THEN r.rawline END, chr(10) ORDER BY r.at), '') AS new_text
-  FROM raw r LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.text = g.text AND r.at = g.at GROUP BY r.doc_id, r.text)
+gone AS (SELECT DISTINCT doc_id, text, unnest(generate_series(f, t)) AS pos FROM spans),
+rest AS (SELECT r.doc_id, r.text, count(g.pos) AS n_removed,
+    coalesce(string_agg(CASE WHEN g.pos IS NULL THEN r.rawline END, chr(10) ORDER BY r.pos), '') AS new_text
+  FROM raw r LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.text = g.text AND r.pos = g.pos GROUP BY r.doc_id, r.text)
 SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE rest.new_text END AS text,
   CAST(coalesce(rest.n_removed, 0) AS BIGINT) AS n_removed
 FROM documents d LEFT JOIN rest ON d.doc_id = rest.doc_id AND d.text = rest.text"""  # noqa: E501
