@@ -144,15 +144,33 @@ TABLES["share"] = """
 SELECT least(1.0, coalesce(CAST(count(*) FILTER (WHERE arr_del15 = 1) AS DOUBLE)
   / nullif(count(*) FILTER (WHERE arr_del15 <> 1), 0), 1.0)) AS share
 FROM merged WHERE year <> 2001"""
+# Unknown weather means are filled with those of all training rows, and flagged by side.
+UNKNOWN = {
+    f"{side}_weather_unknown": " OR ".join(f"{side}_{m} IS NULL" for m in MEASURES)
+    for side in ("dep", "arr")
+}
+TABLES["typical"] = f"""
+SELECT {listed([f"avg({c}) AS typical_{c}" for c in WEATHER_MEANS])} FROM encoded WHERE year <> 2001"""
+TABLES["known"] = f"""
+SELECT encoded.* REPLACE ({listed([f"coalesce({c}, typical_{c}, 0) AS {c}" for c in WEATHER_MEANS])}),
+  {listed([yes(test, flag) for flag, test in UNKNOWN.items()])}
+FROM encoded, typical"""
 TABLES["train"] = """
-SELECT encoded.* FROM encoded, share WHERE year <> 2001 AND (arr_del15 = 1 OR
+SELECT known.* FROM known, share WHERE year <> 2001 AND (arr_del15 = 1 OR
   CAST(flight_id % 1000003 * 736877 % 1000003 AS DOUBLE) / CAST(1000003 AS DOUBLE) < share)"""
-TABLES["test"] = "SELECT * FROM encoded WHERE year = 2001"
+TABLES["test"] = "SELECT * FROM known WHERE year = 2001"
 TABLES["ranges"] = f"""
 SELECT {listed([f"CAST(min({c}) AS DOUBLE) AS low_{c}, CAST(max({c}) AS DOUBLE) AS high_{c}" for c in SCALED])}
 FROM train"""
 
 
+TABLES["observed_at_origin"] = """
+SELECT flight_id, station, date FROM bounded LEFT JOIN observed ON origin_station_id = station
+  AND origin_weather_start <= date AND origin_weather_end >= date"""
+SCALED_NAMES = {f"{c}_scaled": c for c in SCALED}
+FEATURE_COLUMNS = feature_columns(CARRIERS)
+
+
 def scaled(column: str) -> str:
     return (
         f"CASE WHEN low_{column} = high_{column} AND {column} IS NOT NULL THEN CAST(0.5 AS DOUBLE)"
@@ -455,10 +473,26 @@ FROM (SELECT flight_id, o.airport_lon AS origin_airport_lon, d.airport_lon AS de
     ),
     "features": query(
         "ranges",
-        f"""SELECT flight_id, arr_del15, CAST({len(feature_columns(CARRIERS))} AS INTEGER) AS size,
-  round({" + ".join(feature_columns(CARRIERS))}, 6) AS total
-FROM (SELECT test.*, {listed([f"{scaled(c)} AS {c}_scaled" for c in SCALED])} FROM test, ranges) s
-WHERE {" AND ".join(f"{c} IS NOT NULL" for c in feature_columns(CARRIERS))}""",
+        "\nUNION ALL\n".join(
+            f"SELECT flight_id, arr_del15, CAST({i} AS INTEGER) AS position,"
+            f" round(CAST({scaled(SCALED_NAMES[c]) if c in SCALED_NAMES else c}"
+            f" AS DOUBLE), 6) AS value FROM test, ranges"
+            for i, c in enumerate(FEATURE_COLUMNS)
+        ),
+    ),
+    "undersample": query(
+        "test",
+        """SELECT flight_id, arr_del15 FROM known, share WHERE year <> 2001 AND (arr_del15 = 1 OR
+  CAST(concat('0x', substr(md5(CAST(flight_id AS VARCHAR)), 1, 7)) AS BIGINT) / CAST(268435456 AS DOUBLE) < share)""",
+    ),
+    "composite_id": query(
+        "flights",
+        "SELECT CAST(fl_date AS VARCHAR) AS fl_date, op_unique_carrier, origin, flight_id,"
+        " row_number() OVER (ORDER BY fl_date, op_unique_carrier, flight_id) - 1 AS row_id FROM flights",
+    ),
+    "interval_rows": query(
+        "observed_at_origin",
+        "SELECT flight_id, CAST(station AS VARCHAR) AS station, CAST(date AS VARCHAR) AS date FROM observed_at_origin",
     ),
     "confusion": query("flown", MATRIX),
     "metrics": f"""{chain("flown")}, matrix AS ({MATRIX}),

@@ -95,10 +95,20 @@ def delay_flags(late_after: float = 15) -> dict[str, Column]:
     }
 
 
-def keep_columns(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
-    """The wanted columns that the table has, in the wanted order."""
+def require_columns(df: DataFrame, wanted: Sequence[str]) -> None:
+    """Fail if a column is absent; names count in any case."""
     present = {name.lower() for name in df.columns}
-    return df.select(*[name for name in wanted if name.lower() in present])
+    absent = [name for name in wanted if name.lower() not in present]
+    if absent:
+        raise ValueError(f"columns {absent} are not among {df.columns}")
+
+
+def keep_columns(df: DataFrame, wanted: Sequence[str], optional: Sequence[str] = ()) -> DataFrame:
+    """The wanted columns in the wanted order; only optional ones may be absent."""
+    present = {name.lower() for name in df.columns}
+    kept = [n for n in wanted if n.lower() in present or n not in optional]
+    require_columns(df, kept)
+    return df.select(*kept)
 
 
 def clean_flights(
@@ -112,6 +122,7 @@ def clean_flights(
     with 0 before they are compared, and keep the columns of later use.
 
     One narrow pass: filters and column choice reach the scan, nothing shuffles.
+    ``key`` names the columns that tell flights apart; an absent column is an error.
     """
     filled = flown(flights).fillna(0, subset=["arr_delay", "dep_delay"])
     derived = filled.withColumns(

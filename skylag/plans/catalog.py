@@ -17,7 +17,7 @@ from ..operators.metrics import confusion, metrics
 from ..operators.nearest import nearest_join, pair_counts, points
 from ..operators.quantiles import box_summary
 from ..operators.row_ids import with_row_id
-from ..operators.sampling import modular_draw, seeded_draw, split_by_year, undersample
+from ..operators.sampling import md5_draw, modular_draw, split_by_year, undersample
 from ..session import scratch_path
 from ..sources import derived
 from ..sources.tables import (
@@ -28,7 +28,13 @@ from ..sources.tables import (
     write_parquet,
 )
 from . import models
-from .flight_weather import flight_weather, nearest_stations, with_stations, with_window_bounds
+from .flight_weather import (
+    flight_weather,
+    interval_join,
+    nearest_stations,
+    with_stations,
+    with_window_bounds,
+)
 from .training import LABEL, SCALED, Prepared, assembler, feature_columns, prepare, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,7 +95,10 @@ def _prepared(spark: SparkSession, sf_dir: str, draw=None) -> Prepared:
 
 def src_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "stations-csv")
-    derived.stations(spark, sf_dir).write.option("header", True).csv(path)
+    rows = derived.stations(spark, sf_dir).select(
+        "lon", F.lit("x").alias("extra"), "station_id", "neighbor_id", "lat"
+    )
+    rows.write.option("header", True).csv(path)
     schema = "station_id bigint, lat double, lon double, neighbor_id int"
     return read_csv(spark, path, schema)
 
@@ -255,6 +264,13 @@ def weather_window_join(spark, sf_dir):
     return counted.withColumn("joined_rows", lines)
 
 
+def interval_rows(spark, sf_dir):
+    """Each flight with the observations of its window at the origin."""
+    flights = with_stations(_clean_flights(spark, sf_dir), _nearest(spark, sf_dir))
+    weather = clean.clean_weather(derived.weather(spark, sf_dir))
+    return interval_join(flights, weather, "origin").withColumns(_text("station", "date"))
+
+
 def flight_weather_means(spark, sf_dir):
     return rounded(_flight_weather(spark, sf_dir)).withColumns(_text("fl_date"))
 
@@ -364,6 +380,15 @@ def carrier_dummies(spark, sf_dir):
     return flights.select("flight_id", *[c.alias(name) for name, c in columns.items()])
 
 
+def composite_id(spark, sf_dir):
+    """Rows numbered by a key of several columns."""
+    rows = derived.flights(spark, sf_dir).select(
+        "fl_date", "op_unique_carrier", "origin", "flight_id"
+    )
+    numbered = with_row_id(rows, ["fl_date", "op_unique_carrier", "flight_id"])
+    return numbered.withColumns(_text("fl_date"))
+
+
 def surrogate_id(spark, sf_dir):
     rows = derived.flights(spark, sf_dir).select("flight_id", "op_unique_carrier")
     return with_row_id(rows, "flight_id")
@@ -382,7 +407,7 @@ def undersample_hash(spark, sf_dir):
 
 
 def undersample_seeded(spark, sf_dir):
-    draw = seeded_draw(F.col("flight_id"), seed=7)
+    draw = md5_draw(F.col("flight_id"))
     return undersample(_training_rows(spark, sf_dir), LABEL, draw)
 
 
@@ -403,16 +428,14 @@ def minmax_test(spark, sf_dir):
 
 
 def features(spark, sf_dir):
-    """Size and element sum of the feature vectors of the test rows."""
+    """Every element of the feature vectors of the test rows, by its position."""
     test = _for_models(_modular(spark, sf_dir)).test
     vectors = assembler(derived.CARRIERS).transform(test)
-    elements = vector_to_array("features")
     return rounded(
         vectors.select(
             "flight_id",
             F.col(LABEL),
-            F.size(elements).alias("size"),
-            F.aggregate(elements, F.lit(0.0), lambda total, x: total + x).alias("total"),
+            F.posexplode(vector_to_array("features")).alias("position", "value"),
         )
     )
 
@@ -420,26 +443,18 @@ def features(spark, sf_dir):
 # Models
 
 
-def small_candidates() -> dict[str, models.Candidate]:
-    """The five models, with fewer and smaller trees than by default."""
-    chosen = [
-        models.logistic_plain(),
-        models.logistic_elastic_net(),
-        models.decision_tree(),
-        models.random_forest(trees=(10, 20)),
-        models.boosted_trees(depths=(2, 4), rounds=(5, 10)),
-    ]
-    return {candidate.name: candidate for candidate in chosen}
-
-
 def _for_models(prepared: Prepared) -> Prepared:
     return stored(prepared, ["flight_id", LABEL, *feature_columns(derived.CARRIERS)])
 
 
+def _candidates() -> dict[str, models.Candidate]:
+    return {candidate.name: candidate for candidate in models.all_candidates()}
+
+
 def _model(name: str) -> Query:
     def query(spark, sf_dir):
         prepared = _for_models(_prepared(spark, sf_dir))
-        scored = models.train_and_score(small_candidates()[name], prepared, derived.CARRIERS)
+        scored = models.train_and_score(_candidates()[name], prepared, derived.CARRIERS)
         return scored.select("flight_id", F.col(LABEL).cast("double").alias("label"), "prediction")
 
     return query
@@ -447,7 +462,7 @@ def _model(name: str) -> Query:
 
 def leaderboard(spark, sf_dir):
     prepared = _for_models(_prepared(spark, sf_dir))
-    candidates = list(small_candidates().values())
+    candidates = models.all_candidates()
     return rounded(models.leaderboard(candidates, prepared, derived.CARRIERS))
 
 
@@ -489,6 +504,7 @@ QUERIES: dict[str, Query] = {
     "flight_stations": flight_stations,
     "window_bounds": window_bounds,
     "weather_window_join": weather_window_join,
+    "interval_rows": interval_rows,
     "flight_weather": flight_weather_means,
     "arrival_status": arrival_status,
     "dep_delay_by_month": _late_counts("dep_delay", "month"),
@@ -512,6 +528,7 @@ QUERIES: dict[str, Query] = {
     "lon_zone": lon_zone,
     "carrier_dummies": carrier_dummies,
     "surrogate_id": surrogate_id,
+    "composite_id": composite_id,
     "undersample_hash": undersample_hash,
     "undersample": undersample_seeded,
     "minmax_train": minmax_train,

@@ -3,22 +3,38 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, time, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.blocks import TIME_BLOCKS, known_block_code, window_end, window_start
 from ..functions.geo import LOWER_48, Box
-from ..operators.clean import MEASURES
+from ..operators.clean import MEASURES, require_columns
 from ..operators.nearest import nearest_join
 from ..operators.windows import window_means
 from ..sources.tables import broadcast_if_small, materialize
 
 ROLES = {"origin": "dep", "dest": "arr"}
 
+_AIRPORT, _STATION = ("airport_id", "lat", "lon"), ("station_id", "lat", "lon")
 
-def nearest_stations(airports: DataFrame, stations: DataFrame, box: Box = LOWER_48) -> DataFrame:
-    """The nearest station of each airport, as a written table: three joins read it."""
+
+def nearest_stations(
+    airports: DataFrame,
+    stations: DataFrame,
+    box: Box = LOWER_48,
+    airport_cols: Sequence[str] = ("airport_id", "lat", "lon"),
+    station_cols: Sequence[str] = ("station_id", "lat", "lon"),
+) -> DataFrame:
+    """The nearest station of each airport, as a written table: three joins read it.
+
+    ``airport_cols`` and ``station_cols`` name the key, latitude and longitude.
+    """
+    require_columns(airports, airport_cols)
+    require_columns(stations, station_cols)
+    airports = airports.select(*[F.col(c).alias(n) for c, n in zip(airport_cols, _AIRPORT, strict=True)])
+    stations = stations.select(*[F.col(c).alias(n) for c, n in zip(station_cols, _STATION, strict=True)])
     return materialize(nearest_join(airports, stations, box), "nearest")
 
 
@@ -63,6 +79,56 @@ def with_stations(flights: DataFrame, nearest: DataFrame) -> DataFrame:
     return flights.select(*names)
 
 
+def near_in_time(weather: DataFrame, flights: DataFrame, window_hours: int = 10) -> DataFrame:
+    """Observations that any flight's window can reach, by the first and last flight date.
+
+    One small aggregate of the flights; the bounds are literals and reach the scan.
+    """
+    first, last = flights.agg(F.min("fl_date"), F.max("fl_date")).first()
+    if first is None:
+        return weather.filter(F.lit(False))
+    # Windows begin at most that many hours before a day, and end within it.
+    begin = datetime.combine(first, time()) - timedelta(hours=window_hours)
+    end = datetime.combine(last, time()) + timedelta(days=1)
+    kind = weather.schema["date"].dataType
+    low, high = (F.lit(edge.isoformat(" ")).cast(kind) for edge in (begin, end))
+    return weather.filter((F.col("date") >= low) & (F.col("date") < high))
+
+
+def interval_join(
+    flights: DataFrame,
+    weather: DataFrame,
+    role: str,
+    window_hours: int = 10,
+    columns: Sequence[str] = ("flight_id",),
+) -> DataFrame:
+    """Each flight with each observation of its window at one of its airports.
+
+    ``flights`` holds ``<role>_station_id`` beside what the windows need. A flight
+    without observations stays once, with NULL ``station`` and ``date``. Windows are cut
+    into hours, so that the join is one of equal stations and hours, with the exact bounds
+    tested after it: an observation meets only flights whose window touches its hour.
+    """
+    start, end = (F.col(f"{role}_weather_{edge}") for edge in ("start", "end"))
+    windows = with_window_bounds(flights, window_hours).select(
+        *columns, F.col(f"{role}_station_id").alias("_station"), start.alias("_start"), end.alias("_end")
+    )
+    first, last = F.date_trunc("hour", "_start"), F.date_trunc("hour", "_end")
+    hours = windows.filter("_start <= _end").withColumn(
+        "_hour", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR")))
+    )
+    seen = weather.select("station", "date", F.date_trunc("hour", "date").alias("_seen"))
+    met = hours.join(
+        seen,
+        (F.col("_station") == F.col("station"))
+        & (F.col("_hour") == F.col("_seen"))
+        & F.col("date").between(F.col("_start"), F.col("_end")),
+    ).select(*columns, "station", "date")
+    without = windows.select(*columns).join(met.select(*columns).distinct(), list(columns), "left_anti")
+    nothing = [F.lit(None).cast(met.schema[n].dataType).alias(n) for n in ("station", "date")]
+    return met.unionByName(without.select(*columns, *nothing))
+
+
 def flight_weather(
     flights: DataFrame,
     nearest: DataFrame,
@@ -83,6 +149,7 @@ def flight_weather(
     station and block.
     """
     used = broadcast_if_small(nearest.select(F.col("station_id").alias("station")))
+    weather = near_in_time(weather, flights, window_hours)
     means = materialize(
         window_means(
             weather.join(used, "station", "left_semi"), measures, blocks, window_hours

@@ -25,8 +25,23 @@ BROADCAST_ROWS = 200_000
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str = AIRPORTS_CSV, sep: str = ","
 ) -> DataFrame:
-    """CSV with a header line. The schema is given, so no job runs to guess it."""
-    return spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)
+    """The columns of a schema out of CSV files with a header line, by name.
+
+    The files' columns may stand in any order and be more; an absent one is an
+    error. Values are cast to the schema's types, and what is no such value becomes
+    NULL. No job runs to guess types, only one to read the header.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    rows = spark.read.option("header", True).option("sep", sep).csv(path)
+    present = {name.strip().lower(): name for name in rows.columns}
+    absent = [f.name for f in schema.fields if f.name.lower() not in present]
+    if absent:
+        raise ValueError(f"columns {absent} are not in the header {rows.columns} of {path}")
+    quoted = {f.name: F.col(f"`{present[f.name.lower()]}`") for f in schema.fields}
+    return rows.select(
+        *[quoted[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
+    )
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
