@@ -38,10 +38,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .batches import Memo, slices, texts
+from .minhash import mixed
 
 UNKNOWN = "und"
 DIMENSIONS = 1 << 17
 LEXICON_DOCUMENTS = 3
+# Words of a long text whose probabilities are worked out in step with other parts.
+PART = 256
 # Characters of a word that are looked at together; longer words are cut.
 _LONGEST = 40
 _NO_LETTER = re.compile(r"[\W\d_]+")
@@ -55,18 +58,44 @@ def words_of(text: str) -> list[str]:
     return words
 
 
-def features(word: str, lexicon: frozenset[str] | set[str]) -> list[int]:
-    """Hashed features of a word; none if it has no letter."""
-    core = _NO_LETTER.sub("", word)
-    if not core:
-        return []
-    bound = f"^{core}$"
-    found = [f"p{core[:n]}" for n in (1, 2, 3) if n <= len(core)]
-    found += [f"s{core[-n:]}" for n in (1, 2, 3, 4) if n <= len(core)]
-    found += [f"g{bound[i : i + n]}" for n in (2, 3) for i in range(len(bound) - n + 1)]
-    if core in lexicon:
-        found.append(f"w{core}")
-    return [xxhash.xxh3_64_intdigest(f) % DIMENSIONS for f in found]
+def _hashed(codes: np.ndarray, first: np.ndarray, size: int, kind: int) -> np.ndarray:
+    """Places of the runs of ``size`` characters that begin at ``first``."""
+    value = np.full(len(first), 64 * kind + size, np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(size):
+            value = mixed((value ^ codes[first + i]) * np.uint64(0x9E3779B97F4A7C15))
+    return (value % np.uint64(DIMENSIONS)).astype(np.int64)
+
+
+def features(cores: list[str], lexicon: frozenset[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of words of letters alone: their places, and which word each is of."""
+    if not cores:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    joined = "".join(f"^{core}$" for core in cores)
+    codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    sizes = np.asarray([len(core) for core in cores])
+    begins = np.concatenate([[0], np.cumsum(sizes + 2)[:-1]])
+    owner = np.repeat(np.arange(len(cores)), sizes + 2)
+    rest = (begins + sizes + 2)[owner] - np.arange(len(codes))
+    places, owners = [], []
+
+    def add(first: np.ndarray, own: np.ndarray, size: int, kind: int) -> None:
+        places.append(_hashed(codes, first, size, kind))
+        owners.append(own)
+
+    for size in (2, 3):
+        first = np.flatnonzero(rest >= size)
+        add(first, owner[first], size, 0)
+    for size in (1, 2, 3, 4):
+        own = np.flatnonzero(sizes >= size)
+        if size < 4:
+            add(begins[own] + 1, own, size, 1)
+        add(begins[own] + 1 + sizes[own] - size, own, size, 2)
+    known = [i for i, core in enumerate(cores) if core in lexicon]
+    names = [xxhash.xxh3_64_intdigest(cores[i]) % DIMENSIONS for i in known]
+    places.append(np.asarray(names, np.int64))
+    owners.append(np.asarray(known, np.int64))
+    return np.concatenate(places), np.concatenate(owners)
 
 
 @dataclass
@@ -78,14 +107,78 @@ class Chain:
     transitions: np.ndarray
     lexicon: frozenset[str] = field(default_factory=frozenset)
 
-    def scores(self, word: str) -> bytes:
-        """A word's score for each label, and 1 if it has a letter, as single precision."""
-        own = features(word, self.lexicon)
-        row = np.zeros(len(self.labels) + 1, "f4")
-        if own:
-            row[:-1] = self.weights[own].sum(axis=0)
-            row[-1] = 1
-        return row.tobytes()
+    def scores(self, cores: list[str]) -> np.ndarray:
+        """Each word's score for each label, and 1 in a last column, as single precision."""
+        places, owners = features(cores, self.lexicon)
+        rows = np.ones((len(cores), len(self.labels) + 1), "f4")
+        for label in range(len(self.labels)):
+            rows[:, label] = np.bincount(owners, self.weights[places, label], len(cores))
+        return rows
+
+
+class WordScores:
+    """Scores of words, remembered; words without a letter have none."""
+
+    def __init__(self, chain: Chain):
+        self.chain = chain
+        self.rows = Memo(lambda word: self._make([word])[0], 400_000)
+
+    def _make(self, words: list[str]) -> list[bytes]:
+        cores = [_NO_LETTER.sub("", word) for word in words]
+        number = {core: i for i, core in enumerate(dict.fromkeys(filter(None, cores)))}
+        rows = self.chain.scores(list(number))
+        none = bytes(4 * (len(self.chain.labels) + 1))
+        return [rows[at].tobytes() if at is not None else none for at in map(number.get, cores)]
+
+    def of(self, texts_words: list[list[str]]) -> np.ndarray:
+        """One row for each word of some texts."""
+        new = list(self.rows.lacks(set().union(*texts_words)))
+        for word, row in zip(new, self._make(new), strict=True):
+            self.rows.put(word, row)
+        get = self.rows.__getitem__
+        raw = b"".join([b"".join(map(get, words)) for words in texts_words])
+        return np.frombuffer(raw, "f4").reshape(-1, len(self.chain.labels) + 1)
+
+
+def _messages(local: np.ndarray, step: np.ndarray, parts: np.ndarray, number: np.ndarray):
+    """What reaches each part of the sequences from the parts before it and after it.
+
+    A part's words together turn what comes in on one side into what goes out on the
+    other by one matrix; the matrices of all parts are multiplied up word by word at once.
+    """
+    k = local.shape[1]
+    before, after = np.ones((len(parts), k)), np.ones((len(parts), k))
+    first = np.cumsum(number) - number
+    long = np.flatnonzero(number > 1)
+    if not len(long):
+        return before, after
+    begins = np.concatenate([[0], np.cumsum(parts)[:-1]])
+    inside = np.concatenate([np.arange(first[i], first[i] + number[i]) for i in long])
+    through = np.broadcast_to(np.eye(k), (len(inside), k, k)).copy()
+    for t in range(PART):
+        on = np.flatnonzero(parts[inside] > t)
+        now = (through[on] @ step) * local[begins[inside[on]] + t][:, None, :]
+        through[on] = now / now.sum(axis=(1, 2), keepdims=True)
+    # The first word of a sequence has no transition before it.
+    at = begins[first[long]]
+    head = local[at] / local[at].sum(axis=1, keepdims=True)
+    for t in range(1, PART):
+        head = (head @ step) * local[at + t]
+        head /= head.sum(axis=1, keepdims=True)
+    heads = dict(zip(long.tolist(), head, strict=True))
+    place = dict(zip(inside.tolist(), range(len(inside)), strict=True))
+    for i in long.tolist():
+        coming = heads[i]
+        for part in range(first[i] + 1, first[i] + number[i]):
+            before[part] = coming @ step
+            coming = coming @ through[place[part]]
+            coming /= coming.sum()
+        going = np.ones(k)
+        for part in range(first[i] + number[i] - 1, first[i], -1):
+            going = through[place[part]] @ going
+            going /= going.sum()
+            after[part - 1] = going
+    return before, after
 
 
 def forward_backward(
@@ -99,23 +192,30 @@ def forward_backward(
     heights = scores.max(axis=1, keepdims=True)
     local = np.exp(scores - heights)
     step = np.exp(transitions - transitions.max())
-    begins = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    lasts = np.cumsum(lengths) - 1
+    # Long sequences are done in parts of equal length, all at the same time.
+    number = -(-lengths // PART)
+    parts = np.full(number.sum(), PART)
+    ends = np.cumsum(number) - 1
+    parts[ends] = lengths - PART * (number - 1)
+    before, after = _messages(local, step, parts, number)
+    begins = np.concatenate([[0], np.cumsum(parts)[:-1]])
     # The longest first: those still going on are always the first ones.
-    order = np.argsort(-lengths, kind="stable")
-    begins, lengths = begins[order], lengths[order]
-    going = np.searchsorted(-lengths, -np.arange(lengths[0] if len(lengths) else 0), "left")
+    order = np.argsort(-parts, kind="stable")
+    begins, parts, before, after = begins[order], parts[order], before[order], after[order]
+    going = np.searchsorted(-parts, -np.arange(parts[0] if len(parts) else 0), "left")
     ahead, back = np.empty_like(local), np.empty_like(local)
     scale = np.ones(len(local))
-    for t, number in enumerate(going):
-        at = begins[:number] + t
-        now = local[at] if t == 0 else (ahead[at - 1] @ step) * local[at]
+    for t, count in enumerate(going):
+        at = begins[:count] + t
+        now = (before if t == 0 else ahead[at - 1] @ step) * local[at]
         total = now.sum(axis=1, keepdims=True)
         ahead[at] = now / total
         scale[at] = total[:, 0]
     for t in range(len(going) - 1, -1, -1):
-        number = going[t]
+        count = going[t]
         later = going[t + 1] if t + 1 < len(going) else 0
-        back[begins[later:number] + t] = 1.0
+        back[begins[later:count] + t] = after[later:count]
         at = begins[:later] + t
         now = (back[at + 1] * local[at + 1]) @ step.T
         back[at] = now / now.sum(axis=1, keepdims=True)
@@ -124,7 +224,7 @@ def forward_backward(
     if not pairs:
         return share, None, 0.0
     inner = np.ones(len(local), bool)
-    inner[begins + lengths - 1] = False
+    inner[lasts] = False
     at = np.flatnonzero(inner)
     joint = ahead[at][:, :, None] * step * (back[at + 1] * local[at + 1])[:, None, :]
     joint /= joint.sum(axis=(1, 2), keepdims=True)
@@ -153,7 +253,7 @@ def _sequences(samples: dict[str, list[list[str]]], seed: int) -> tuple[list[str
     return words, np.asarray(labels), lengths
 
 
-def fit(samples: dict[str, list[list[str]]], steps: int = 40, penalty: float = 1e-6) -> Chain:
+def fit(samples: dict[str, list[list[str]]], steps: int = 25, penalty: float = 1e-6) -> Chain:
     """Train a field on the words of labelled documents, by label."""
     names = sorted(samples)
     samples = {name: samples[name] for name in names}
@@ -162,9 +262,10 @@ def fit(samples: dict[str, list[list[str]]], steps: int = 40, penalty: float = 1
     words, labels, lengths = _sequences(samples, seed=7)
     number = {w: i for i, w in enumerate(dict.fromkeys(words))}
     of = np.asarray([number[w] for w in words], np.int64)
-    own = [features(w, lexicon) for w in number]
-    flat = np.asarray([f for fs in own for f in fs], np.int64)
-    owner = np.repeat(np.arange(len(own)), [len(fs) for fs in own])
+    cores = [_NO_LETTER.sub("", w) for w in number]
+    lettered = np.asarray([i for i, core in enumerate(cores) if core], np.int64)
+    flat, owner = features([core for core in cores if core], lexicon)
+    owner = lettered[owner]
     k = len(names)
     weights, transitions = np.zeros((DIMENSIONS, k)), np.zeros((k, k))
     truth = np.zeros((len(words), k))
@@ -181,9 +282,9 @@ def fit(samples: dict[str, list[list[str]]], steps: int = 40, penalty: float = 1
     means = [np.zeros_like(weights), np.zeros_like(transitions)]
     squares = [np.zeros_like(weights), np.zeros_like(transitions)]
     for turn in range(1, steps + 1):
-        scores = by_column(owner, weights[flat], len(own))[of]
+        scores = by_column(owner, weights[flat], len(number))[of]
         share, expected, _ = forward_backward(scores, np.asarray(lengths), transitions, pairs=True)
-        of_words = by_column(of, truth - share, len(own))
+        of_words = by_column(of, truth - share, len(number))
         gradient = by_column(flat, of_words[owner], DIMENSIONS) / len(words)
         steps_up = [gradient - penalty * weights, (moves - expected) / len(words)]
         for target, up, mean, square in zip(
@@ -232,7 +333,7 @@ def labelled(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
-        memo = Memo(own.scores, 300_000) if own else None
+        memo = WordScores(own) if own else None
         for batch in slices(batches, 4096):
             names, scores, runs = _of_batch(own, memo, texts(batch[text]), with_runs)
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
@@ -244,7 +345,7 @@ def labelled(
     return df.select(*kept, *([] if text in kept else [text])).mapInArrow(run, schema)
 
 
-def _of_batch(chain: Chain | None, memo: Memo | None, values: list[str], with_runs: bool):
+def _of_batch(chain: Chain | None, memo: WordScores | None, values: list[str], with_runs: bool):
     """Language and score of each text, and its runs if asked for."""
     names, scores = [UNKNOWN] * len(values), np.zeros(len(values))
     runs: list[list[dict]] = [[] for _ in values]
@@ -252,8 +353,7 @@ def _of_batch(chain: Chain | None, memo: Memo | None, values: list[str], with_ru
         return names, scores, runs
     parts = [words_of(v) for v in values]
     k = len(chain.labels)
-    rows = np.frombuffer(b"".join([b"".join(map(memo.__getitem__, p)) for p in parts]), "f4")
-    rows = rows.reshape(-1, k + 1)
+    rows = memo.of(parts)
     lengths = np.asarray([len(p) for p in parts])
     full = np.flatnonzero(lengths)
     if not len(full):

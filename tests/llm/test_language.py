@@ -30,7 +30,7 @@ def by_force(scores, transitions):
     return share / total, moves / total, np.log(total)
 
 
-def test_forward_backward_equals_brute_force():
+def test_forward_backward_equals_brute_force(monkeypatch):
     rng = np.random.default_rng(1)
     lengths = np.asarray([1, 5, 3, 5])
     scores = rng.normal(size=(lengths.sum(), 3)) * 2
@@ -41,6 +41,11 @@ def test_forward_backward_equals_brute_force():
     assert np.allclose(share, np.concatenate([w[0] for w in want]))
     assert np.allclose(moves, sum(w[1] for w in want))
     assert logs == pytest.approx(sum(w[2] for w in want))
+    for part in (1, 2, 3):
+        monkeypatch.setattr(language, "PART", part)
+        again = language.forward_backward(scores, lengths, transitions, pairs=True)
+        assert np.allclose(again[0], share) and np.allclose(again[1], moves)
+        assert again[2] == pytest.approx(logs)
     alone, _, _ = language.forward_backward(scores, lengths, transitions)
     assert np.allclose(alone, share)
 
