@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import sql_over
-from .quantiles import quantiles
+from .quantiles import PARTS, quantiles
 
 
 # Per pair of columns, over the rows that have both: count, sums, sums of squares
@@ -101,8 +101,8 @@ def describe_text(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
     )
 
 
-def summary(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Mean, median, greatest and least of some columns."""
+def summary(df: DataFrame, names: Sequence[str], parts: int = PARTS) -> DataFrame:
+    """Mean, median, greatest and least of some columns; ``parts`` as for ``quantiles``."""
     plain = _one_row_per_column(
         df,
         names,
@@ -113,7 +113,7 @@ def summary(df: DataFrame, names: Sequence[str]) -> DataFrame:
         },
     )
     values = _one_row_per_value(df, names)
-    medians = quantiles(values, "value", {"median": 0.5}, ["column_name"])
+    medians = quantiles(values, "value", {"median": 0.5}, ["column_name"], parts)
     return plain.join(medians.select("column_name", "median"), "column_name", "left")
 
 
@@ -192,7 +192,7 @@ def status_counts(df: DataFrame, status: str) -> DataFrame:
     return sql_over(
         df.sparkSession,
         {"status_rows": df},
-        f"SELECT {status}, count(*) AS n FROM status_rows GROUP BY {status} ORDER BY n DESC",
+        f"SELECT `{status}`, count(*) AS n FROM {{status_rows}} GROUP BY `{status}` ORDER BY n DESC",
     )
 
 
@@ -201,8 +201,8 @@ def late_counts(df: DataFrame, delay: str, period: str, late_after: float = 15)
     return sql_over(
         df.sparkSession,
         {"flight_rows": df},
-        f"SELECT {period}, count({delay}) AS delay_counts FROM flight_rows "
-        f"WHERE {delay} > {late_after} GROUP BY {period} ORDER BY {period}",
+        f"SELECT `{period}`, count(`{delay}`) AS delay_counts FROM {{flight_rows}} "
+        f"WHERE `{delay}` > {late_after} GROUP BY `{period}` ORDER BY `{period}`",
     )
 
 
@@ -220,7 +220,7 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     The last bin holds its upper edge. Two passes: the extent, of which two
     numbers come back, and the counts.
     """
-    known = df.selectExpr(f"CAST({column} AS DOUBLE) AS value").filter("value IS NOT NULL")
+    known = df.selectExpr(f"CAST(`{column}` AS DOUBLE) AS value").filter("value IS NOT NULL")
     low, high = known.agg(F.min("value"), F.max("value")).first()
     width = None if low is None else (high - low) / bins
     low, high, width = (F.lit(number).cast("double") for number in (low, high, width))

@@ -4,7 +4,7 @@ Values are counted first, which combines on the map side, and the ranks are
 found on the counts. A group that holds most of the rows is thus cut down to its
 distinct values (whole minutes, for delays) before it meets in one task, and the
 running sum over those streams through a sort that can spill. Values that are
-not few, such as measured ones, are ranked in parts: see ``parts``.
+not few, such as measured ones, are ranked in ``parts`` of about equal size.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Tasks that rank the values of one group, unless the caller knows better.
+PARTS = 8
+
 
 def _counts(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
     known = df.filter(F.col(value).isNotNull())
@@ -63,7 +66,7 @@ def quantiles(
     value: str,
     probabilities: dict[str, float],
     group: Sequence[str],
-    parts: int = 1,
+    parts: int = PARTS,
 ) -> DataFrame:
     """Exact interpolated quantiles of a column per group, by output name.
 
@@ -93,7 +96,7 @@ def quantiles(
 
 
 def box_summary(
-    df: DataFrame, group: str, value: str, reach: float = 1.5, parts: int = 1
+    df: DataFrame, group: str, value: str, reach: float = 1.5, parts: int = PARTS
 ) -> DataFrame:
     """Quartiles, whiskers and outliers per group, as a box plot draws them.
 

@@ -45,7 +45,7 @@ PROFILED = [
     "arr_time", "arr_delay", *clean.DELAY_CAUSES, "crs_elapsed_time", "distance",
 ]
 
-stored_merges: dict[tuple[str, str], DataFrame] = {}
+stored_merges: dict[tuple[str, str, tuple[str, ...]], DataFrame] = {}
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -79,8 +79,13 @@ def _flight_weather(spark: SparkSession, sf_dir: str, counts: bool = False) -> D
 
 
 def merged_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The merged table, written once per session and read by all later steps."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """The merged table, written once per session and read by all later steps, as long
+    as the tables it comes from have the same files."""
+    sources = ("orders", "nation", "supplier", "region", "events")
+    files = tuple(
+        sorted(f for name in sources for f in read_parquet(spark, f"{sf_dir}/{name}.parquet").inputFiles())
+    )
+    key = (spark.sparkContext.applicationId, sf_dir, files)
     if key not in stored_merges:
         stored_merges[key] = materialize(_flight_weather(spark, sf_dir), "merged", ["year"])
     return stored_merges[key]

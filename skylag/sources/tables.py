@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,10 +82,19 @@ def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> D
 
 
 def sql_over(spark: SparkSession, views: Mapping[str, DataFrame], text: str) -> DataFrame:
-    """Register DataFrames as temporary views and run a SQL text over them."""
+    """Register DataFrames as temporary views and run a SQL text over them.
+
+    The text names a view as ``{name}``. Each call has view names of its own, so no view
+    of the caller's is touched, and drops them when the plan is made.
+    """
+    names = {name: f"{name}_{uuid.uuid4().hex}" for name in views}
     for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(text)
+        df.createOrReplaceTempView(names[name])
+    try:
+        return spark.sql(text.format(**names))
+    finally:
+        for name in names.values():
+            spark.catalog.dropTempView(name)
 
 
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
