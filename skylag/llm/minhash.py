@@ -277,7 +277,7 @@ def near_duplicates(
     percent: int = 80,
     bands: int = 30,
     rows: int = 5,
-    rounds: int = 3,
+    rounds: int = 2,
 ) -> DataFrame:
     """(key, n_shingles, component_id, kept) of each row.
 
