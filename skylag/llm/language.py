@@ -299,7 +299,7 @@ def fit(samples: dict[str, list[list[str]]], steps: int = 25, penalty: float = 1
 
 
 def train(
-    labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_label: int = 200
+    labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", per_label: int = 120
 ) -> Chain | None:
     """Fit on a sample of the labelled rows; None if there is no label with words."""
     rows = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
