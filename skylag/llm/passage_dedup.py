@@ -1,0 +1,170 @@
+"""Remove passages that were seen before, wherever in their lines they begin and end.
+
+A text is a row of words, whatever white space or line ends stand between them. A word
+goes if it lies in a run of ``min_words`` words that also stands at an earlier place: in
+a smaller document, or higher up in the same one without lapping over into the run. What
+stands first stays. A repeated run of any greater length is made of such runs, one for
+each word by which it is longer, so it goes as a whole, to the word; shorter ones stay.
+
+1. Texts that are alike are one; their later documents repeat it from end to end.
+2. Winnowing: each run of ``min_words`` words selects the least hash of the ``PIECE``
+   words that stand side by side in it. Runs alike select the same one. Only runs whose
+   selected hash comes up at two places go on, so text that is not repeated is never
+   written run by run.
+3. These runs are compared by a 128-bit digest of all their words; of equal ones the
+   first stays, and the others are deleted as one where they touch.
+
+All steps are plain DataFrame functions. Hashes and digests are aggregated before they
+meet, and their joins are between written tables, so hot ones are split.
+
+Defined results: as in ``line_dedup`` for NULL keys and texts, rows alike, other columns
+and empty tables. The white space after a removed word goes with it; where a removed run
+held a line end, what stays around it is still in two lines. ``n_removed`` counts words.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..sources.tables import materialize
+
+# Words of the pieces out of which a run selects its fingerprint.
+PIECE = 8
+_WHITE = " \t\n\r\f\u000b"
+
+
+def _pieces(text: Column) -> Column:
+    """Words with the white space after them; that before the first word is a piece of its own."""
+    return F.split(text, r"(?<=\s)(?=\S)")
+
+
+def _hashes(text: Column) -> Column:
+    """A hash of each word; white space before the first word belongs to no word."""
+    return F.transform(_pieces(F.ltrim(text, F.lit(_WHITE))), lambda p: F.xxhash64(F.rtrim(p, F.lit(_WHITE))))
+
+
+def _of_all(size: Column, make) -> Column:
+    """An array of ``make(i)`` for i from 0 up to ``size``, which may be negative."""
+    return F.when(size >= 0, F.transform(F.sequence(F.lit(0), size), make))
+
+
+def repeated_passages(
+    df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50
+) -> DataFrame:
+    """doc, version (two digests of the text), and runs of repeated words: (from, to) arrays."""
+    piece = min(PIECE, min_words)
+    version = F.struct(F.xxhash64("text").alias("v"), F.xxhash64(F.lit("second"), "text").alias("w"))
+    whole = df.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    whole = whole.filter("text IS NOT NULL").withColumn("version", version)
+    copies = whole.groupBy("doc", "version").agg(F.first("text").alias("text"))
+    least = Window.partitionBy("version")
+    firsts = copies.groupBy("version").agg(F.min(F.struct("doc")).alias("d"), F.first("text").alias("text"))
+    words = firsts.select(F.col("d.doc").alias("doc"), "version", _hashes(F.col("text")).alias("h"))
+    words = materialize(words.filter(F.size("h") >= min_words), "words")
+
+    # The hash that each run selects, and where that changes; no stretch is so long that
+    # two runs which do not lap over each other could both lie in it.
+    sides = _of_all(F.size("h") - piece, lambda i: F.xxhash64(F.slice("h", i + 1, piece)))
+    least_of = lambda side: _of_all(
+        F.size("h") - min_words, lambda i: F.array_min(F.slice(side, i + 1, min_words - piece + 1))
+    )
+    # Bound by a lambda, so that the optimiser does not work out all pieces for each run.
+    chosen = words.select("doc", "version", F.get(F.transform(F.array(sides), least_of), 0).alias("m"))
+    m = F.col("m")
+    stretch = F.filter(
+        F.sequence(F.lit(0), F.size("m") - 1),
+        lambda i: (i % min_words == 0) | (F.get(m, i) != F.get(m, i - 1)),
+    )
+    starts = chosen.select("doc", "version", "m", stretch.alias("s"))
+    stretches = starts.select(
+        "doc",
+        "version",
+        F.inline(
+            F.transform(
+                "s",
+                lambda b, k: F.struct(
+                    F.get("m", b).alias("print"),
+                    b.alias("from"),
+                    (F.coalesce(F.get("s", k + 1), F.size("m")) - 1).alias("to"),
+                ),
+            )
+        ),
+    )
+    stretches = materialize(stretches, "stretches")
+    prints = stretches.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
+    twice = stretches.join(materialize(prints, "prints"), "print")
+    twice = twice.groupBy("version").agg(F.collect_list(F.struct("from", "to")).alias("twice"))
+    twice = materialize(twice, "twice")
+
+    at = F.explode(F.flatten(F.transform("twice", lambda t: F.sequence(t["from"], t["to"]))))
+    found = words.join(twice, "version").select("doc", "version", "h", at.alias("from"))
+    run = F.slice("h", F.col("from") + 1, min_words)
+    found = found.select(
+        "doc", "version", "from",
+        F.xxhash64(run).alias("one"), F.xxhash64(F.lit("second"), run).alias("two"),
+    )
+    found = materialize(found, "runs")
+    place = F.struct("doc", "version", "from")
+    first = found.groupBy("one", "two").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = materialize(first.filter("first != last").drop("last"), "first")
+    apart = ~F.col("doc").eqNullSafe(F.col("first.doc")) | (F.col("version") != F.col("first.version"))
+    later = found.join(first, ["one", "two"]).filter(
+        (place > F.col("first")) & (apart | (F.col("from") >= F.col("first.from") + min_words))
+    )
+    # Runs that overlap or touch become one.
+    later = later.select("version", "from", (F.col("from") + min_words - 1).alias("to"))
+    upward = least.orderBy("from")
+    begins = F.coalesce(F.col("from") > F.lag("to").over(upward) + 1, F.lit(True))
+    later = later.withColumn("begins", begins.cast("int"))
+    later = later.withColumn("run", F.sum("begins").over(upward))
+    runs = later.groupBy("version", "run").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    runs = runs.groupBy("version").agg(
+        F.sort_array(F.collect_list(F.struct("from", "to"))).alias("runs")
+    )
+    # Later documents of a text repeat all of it.
+    sizes = words.select("version", F.col("doc").alias("first"), F.size("h").alias("n"))
+    every = F.array(F.struct(F.lit(0).alias("from"), (F.col("n") - 1).alias("to")))
+    of_copies = copies.select("doc", "version").join(sizes, "version").join(runs, "version", "left")
+    own = F.when(F.col("doc").eqNullSafe(F.col("first")), F.col("runs")).otherwise(every)
+    return of_copies.select("doc", "version", own.alias("runs")).filter("runs IS NOT NULL")
+
+
+def without_passages(
+    df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50
+) -> DataFrame:
+    """The rows with repeated passages taken out of the text, and ``n_removed``, how many words."""
+    kept = [c for c in df.columns if c.lower() != "n_removed"]
+    runs = repeated_passages(df, key, text, min_words).select(
+        F.col("doc").alias("__doc"),
+        F.col("version.v").alias("__v"),
+        F.col("version.w").alias("__w"),
+        F.col("runs").alias("__runs"),
+    )
+    rows = df.select(
+        *kept, F.xxhash64(text).alias("__one"), F.xxhash64(F.lit("second"), text).alias("__two")
+    )
+    same = (F.col("__one") == F.col("__v")) & (F.col("__two") == F.col("__w"))
+    rows = rows.join(runs, F.col(key).eqNullSafe(F.col("__doc")) & same, "left")
+    pieces = _pieces(F.col(text))
+    # White space before the first word is a piece ahead of the words.
+    ahead = F.when(F.col(text).rlike(r"^\s"), 1).otherwise(0)
+    rows = rows.withColumn("__pieces", pieces).withColumn("__ahead", ahead)
+    part = lambda start, size: F.array_join(F.slice("__pieces", start, size), "")
+    ends = F.concat(F.array(F.lit(-1) - F.col("__ahead")), F.col("__runs.to"))
+    begins = F.concat(F.col("__runs.from"), F.array(F.size("__pieces") - F.col("__ahead")))
+    gaps = F.arrays_zip(ends.alias("e"), begins.alias("b"), F.concat("__runs.to", F.array(F.lit(-1))).alias("t"))
+
+    def stays(g: Column) -> Column:
+        own = part(g["e"] + 2 + F.col("__ahead"), g["b"] - g["e"] - 1)
+        gone = part(g["b"] + 1 + F.col("__ahead"), F.greatest(g["t"] - g["b"] + 1, F.lit(0)))
+        cut = F.contains(gone, F.lit("\n")) & (own != "") & ~F.endswith(own, F.lit("\n"))
+        return F.concat(own, F.when(cut, "\n").otherwise(""))
+
+    has = F.col("__runs").isNotNull()
+    new_text = F.when(has, F.array_join(F.transform(gaps, stays), "")).otherwise(F.col(text))
+    removed = F.aggregate("__runs", F.lit(0).cast("long"), lambda a, r: a + r["to"] - r["from"] + 1)
+    return rows.select(
+        *(new_text.alias(text) if c == text else c for c in kept),
+        F.coalesce(removed, F.lit(0).cast("long")).alias("n_removed"),
+    )

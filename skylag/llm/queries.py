@@ -17,6 +17,7 @@ from . import (
     minhash,
     neighbours,
     packing,
+    passage_dedup,
     token_output,
     tokens,
     urls,
@@ -103,6 +104,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(documents, min_words=PASSAGE_WORDS)
 
 
+def op9_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the passages of 50 words or more, inside lines too, that were seen before."""
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return passage_dedup.without_passages(documents, min_words=PASSAGE_WORDS)
+
+
 def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed id matrices of all documents by the English byte vocabulary, ended by id 50256."""
     documents = _table(spark, sf_dir, "documents", "doc_id", "text")
@@ -122,6 +129,7 @@ QUERIES: dict[str, Query] = {
     "op7_vector_near_dedup": op7_vector_near_dedup,
     "op8_superminhash_dedup": op8_superminhash_dedup,
     "op9_line_dedup": op9_line_dedup,
+    "op9_passage_dedup": op9_passage_dedup,
     "op10_token_matrices": op10_token_matrices,
 }
 

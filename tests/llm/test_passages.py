@@ -1,0 +1,74 @@
+import random
+import re
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+from llm_cases import DOCUMENTS, documents, table  # noqa: E402
+
+from skylag.llm import passage_dedup  # noqa: E402
+from skylag.llm.queries import QUERIES  # noqa: E402
+
+
+def by_force(rows, least):
+    """Words of each row that stay, and how many go."""
+    order = sorted({(r[0], r[1]) for r in rows if r[1] is not None})
+    seen, gone = {}, {}
+    for number, row in enumerate(order):
+        words, cut = re.findall(r"[^ \t\n\r\f\v]+", row[1]), set()
+        for i in range(len(words) - least + 1):
+            run = tuple(words[i : i + least])
+            doc, at = seen.setdefault(run, (number, i))
+            if doc < number or at + least <= i:
+                cut.update(range(i, i + least))
+        gone[row] = [w for i, w in enumerate(words) if i not in cut], len(cut)
+    return sorted(((r[0], *gone.get((r[0], r[1]), (None, 0))) for r in rows), key=str)
+
+
+def found(df):
+    split = [(r.doc_id, None if r.text is None else r.text.split(), r.n_removed) for r in df.collect()]
+    return sorted(split, key=str)
+
+
+def test_a_passage_inside_lines_goes(spark):
+    passage = [f"w{i}" for i in range(55)]
+    lined = lambda w, n: "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
+    texts = [
+        "top line\nbefore " + lined(passage, 9) + " after\nend",
+        "other " + lined(passage, 20) + " behind\nlast",
+        "short " + " ".join(passage[:49]) + " x",
+    ]
+    df = spark.createDataFrame(documents(texts), DOCUMENTS)
+    got = {r.doc_id: (r.text, r.n_removed) for r in passage_dedup.without_passages(df).collect()}
+    assert got[0] == (texts[0], 0) and got[2] == (texts[2], 0)
+    assert got[1] == ("other \nbehind\nlast", 55)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_words_equal_brute_force(spark, seed):
+    draw = random.Random(seed)
+    bits = ["a", "b c", "a b\nc d", "\n", " e f g h ", "a b c d e f g h i j", "k\tl", "\x0bm"]
+    texts = [draw.choice(" \n") .join(draw.choice(bits) for _ in range(draw.randint(0, 14))) for _ in range(30)]
+    rows = documents([None, "", *texts, texts[0]])
+    df = spark.createDataFrame(rows, DOCUMENTS)
+    for least in (6, 12):
+        assert found(passage_dedup.without_passages(df, min_words=least)) == by_force(rows, least)
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    out = QUERIES["op9_passage_dedup"](spark, sf_dir)
+    want = by_force([r[:2] for r in table(sf_dir, "documents")], 50)
+    # The words of a text as the test's own regular expression finds them.
+    got = sorted(
+        (
+            (r.doc_id, None if r.text is None else re.findall(r"[^ \t\n\r\f\v]+", r.text), r.n_removed)
+            for r in out.collect()
+        ),
+        key=str,
+    )
+    assert got == want
+    assert sum(r[2] for r in got) > 0
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
