@@ -23,7 +23,11 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that have a language; the others are rejected."""
     labelled = docs.filter(F.col("doc_id").isNotNull() & ~language.held_out())
-    found = language.labelled(docs.select(*COLUMNS), language.train(labelled))
+    chain = language.train(labelled)
+    if chain is None:
+        # Nothing to learn from is no evidence against a document; those with a letter stay.
+        return docs.select(*COLUMNS).filter(F.col("text").rlike(r"\p{L}"))
+    found = language.labelled(docs.select(*COLUMNS), chain)
     return found.filter(F.col("lang_pred") != language.UNKNOWN).select(*COLUMNS)
 
 

@@ -69,3 +69,11 @@ def test_empty_table_and_extra_columns(spark, tmp_path):
     rows = [(i, f"word{i} and more", "en", "s", 16, 1, "x", 2, 3, 4) for i in range(5)]
     folder = saved(spark, other, rows, schema)
     assert [df.count() for df in through(spark, folder)] == [5, 5, 5, 5]
+
+
+def test_documents_stay_where_no_language_can_be_learned(spark):
+    rows = [(0, "the and of", None, "s", 10), (1, "é", None, "s", 1), (2, "12 ...", None, "s", 6)]
+    rows += [(3, None, None, "s", None)]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    kept = corpus_pipeline.language_id(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1]
