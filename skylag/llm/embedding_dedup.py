@@ -217,7 +217,7 @@ def near_duplicate_vectors(
     vector: str = "embedding",
     label: str = "label",
     least: float = 0.93,
-    tables: int = 8,
+    tables: int = 16,
     hashes: int = 2,
 ) -> DataFrame:
     """(key, n_links, component_id, kept) of each row."""

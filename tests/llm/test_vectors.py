@@ -1,3 +1,4 @@
+import inspect
 import sys
 from pathlib import Path
 
@@ -166,3 +167,18 @@ def test_hadamard_keeps_lengths():
     y = embedding_dedup.hadamard(x)
     assert np.allclose((y * y).sum(1), 64 * (x * x).sum(1))
     assert np.allclose(embedding_dedup.hadamard(y), 64 * x)
+
+
+def test_pairs_at_the_threshold_meet_by_the_query_s_own_parameters():
+    own = inspect.signature(embedding_dedup.near_duplicate_vectors).parameters
+    least, tables, hashes = (own[n].default for n in ("least", "tables", "hashes"))
+    rng, missed, pairs = np.random.default_rng(5), 0, 20_000
+    for _ in range(2):
+        a, b = rng.normal(size=(2, pairs // 2, 64))
+        a /= np.linalg.norm(a, axis=1, keepdims=True)
+        b -= (a * b).sum(axis=1, keepdims=True) * a
+        b *= np.sqrt(1 - least**2) / np.linalg.norm(b, axis=1, keepdims=True)
+        (ma, pa), (mb, pb) = (embedding_dedup.buckets(x, tables, hashes) for x in (a, least * a + b))
+        meet = (ma == mb) | (pb == ma[:, :, None]).any(axis=2) | (pa == mb[:, :, None]).any(axis=2)
+        missed += (~meet.any(axis=1)).sum()
+    assert missed <= 2
