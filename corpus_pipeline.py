@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir) and reads only its ``docs``; what it returns is
 written and read again as the next one's. All but the last return the columns of
-``documents``. Keys are to tell documents apart; rows alike in all columns share their fate.
+``documents``. Different texts under one key are documents of their own; of rows alike in key
+and text, those up to line dedup share their fate, and near-duplicate removal keeps one.
 
 Defined results: documents without a letter have no language and go first, which takes the
 NULL and empty texts; documents of which line dedup leaves no line go then; documents with
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylag.llm import language, line_dedup, minhash, queries
+from skylag.operators.row_ids import with_row_id
 from skylag.sources.tables import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -42,9 +44,13 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the first, of each group that shares four fifths of its five-word shingles."""
-    found = minhash.near_duplicates(docs, words=5, percent=80)
-    gone = found.filter("NOT kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    # Rows go by a number of their own in the order of their keys, since keys may repeat.
+    rows = docs.select(*COLUMNS, F.xxhash64("text").alias("__text"))
+    rows = materialize(with_row_id(rows, ["doc_id", "__text"], "__row"), "numbered")
+    number = F.when(F.col("doc_id").isNotNull(), F.col("__row")).alias("__row")
+    found = minhash.near_duplicates(rows.select(number, "text"), key="__row", words=5, percent=80)
+    gone = found.filter("NOT kept").select("__row")
+    return rows.join(gone, "__row", "left_anti").select(*COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

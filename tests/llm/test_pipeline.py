@@ -77,3 +77,13 @@ def test_documents_stay_where_no_language_can_be_learned(spark):
     docs = spark.createDataFrame(rows, DOCUMENTS)
     kept = corpus_pipeline.language_id(spark, docs, "")
     assert sorted(r.doc_id for r in kept.collect()) == [0, 1]
+
+
+def test_near_duplicates_leave_by_row_where_keys_repeat(spark):
+    near = " ".join(f"w{i}" for i in range(80))
+    texts = [(0, near), (1, near + " x"), (1, "a clean text of its own"), (2, "twice the same row")]
+    rows = [(d, t, "en", "s", len(t)) for d, t in [*texts, texts[3], (None, near), (3, "")]]
+    docs = spark.createDataFrame(rows, DOCUMENTS)
+    kept = corpus_pipeline.without_near_duplicates(spark, docs, "").collect()
+    want = [texts[0], *texts[2:], (None, near), (3, "")]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted(want, key=str)
