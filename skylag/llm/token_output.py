@@ -1,13 +1,14 @@
 """Packed token-id matrices by best-fit decreasing with a segment tree of capacities.
 
-Each task reads its share of the documents, encodes them and cuts those longer than
+The documents are dealt out evenly to tasks of some ``TASK_BYTES`` of text, however
+small the partitions they come in. Each task encodes its share and cuts those longer than
 a sequence into pieces, without losing an id. Pieces are gathered until they hold
 ``GROUP_TOKENS`` ids. Then, longest first, each piece goes to the open sequence with
 the least room that still takes it; a segment tree over the possible room finds that
 sequence in steps that grow with the logarithm of the capacity. Well-filled
-sequences are passed on; the others' pieces wait for the next group, so that only
-the last sequences of a task stay less full. No row is shuffled, and a task's memory
-is bounded by a group and one document.
+sequences are passed on; the others' pieces wait for the next group, the emptiest
+first, so that mostly the last sequences of a task stay less full. Texts are shuffled
+once, and a task's memory is bounded by a group and one document.
 
 A row is one line of the id matrix: ``ids``, always ``capacity`` little-endian
 unsigned 32-bit numbers padded with ``pad_id``; ``segment_ends``, the cumulative
@@ -36,6 +37,8 @@ from .batches import slices, texts
 from .bpe import codec
 from .tokens import cut
 
+# Text of a task, so that its last sequences are few among all of its own.
+TASK_BYTES = 8_000_000
 # Ids gathered before they are packed, and ids that may wait for the next group.
 GROUP_TOKENS = 3_000_000
 WAITING_TOKENS = 500_000
@@ -160,9 +163,9 @@ def packed_matrices(
             nonlocal given, waiting, held
             sequences = best_fit_decreasing([len(p[2]) // 4 for p in waiting], capacity)
             ready, later, late = [], [], 0
-            for sequence in sequences:
+            sizes = [sum(len(waiting[i][2]) // 4 for i in s) for s in sequences]
+            for size, sequence in sorted(zip(sizes, sequences, strict=True)):
                 own = [waiting[i] for i in sequence]
-                size = sum(len(p[2]) // 4 for p in own)
                 if last or (capacity - size) * _FILLED <= capacity or late >= WAITING_TOKENS:
                     ready.append(own)
                 else:
@@ -187,7 +190,9 @@ def packed_matrices(
         if waiting:
             yield from packed(last=True)
 
-    return df.select(key, text).mapInArrow(run, schema)
+    rows = df.select(key, text)
+    total = rows.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    return rows.repartition(max(1, -(-total // TASK_BYTES))).mapInArrow(run, schema)
 
 
 def unpacked(matrices: DataFrame) -> DataFrame:

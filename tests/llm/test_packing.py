@@ -189,3 +189,12 @@ def test_matrices_of_odd_texts(spark, tmp_path):
 def test_matrices_of_an_empty_table(spark, tmp_path):
     df = QUERIES["op10_token_matrices"](spark, saved(spark, tmp_path, [], DOCUMENTS))
     assert df.count() == 0
+
+
+def test_small_partitions_do_not_add_padded_rows(spark):
+    rows = [(i, f"text number {i} " * 20) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(50)
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    out = token_output.packed_matrices(df, ranks, public_tokenizers.PATTERN, 50256, 4096, 50256)
+    sizes = [r.n_tokens for r in out.select("n_tokens").collect()]
+    assert len(sizes) <= -(-sum(sizes) // 4096) + 1
