@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bpe,
+    collocations,
     embedding_dedup,
     html_text,
     language,
@@ -18,9 +19,11 @@ from . import (
     neighbours,
     packing,
     passage_dedup,
+    sentence_pieces,
     token_output,
     tokens,
     urls,
+    whitening,
 )
 
 # Tokens of a training sequence.
@@ -119,6 +122,28 @@ def op10_token_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four whitened principal components of each vector."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op12_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each document's pieces, how many of its bytes they cover, and back to text."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    documents = _table(spark, sf_dir, "documents", "doc_id", "text")
+    encoded = sentence_pieces.encode(documents, model)
+    widths = F.zip_with("ends", "begins", lambda end, begin: end - begin)
+    covered = F.aggregate(widths, F.lit(0).cast("long"), lambda total, width: total + width)
+    encoded = encoded.select("doc_id", "ids", covered.alias("n_bytes_covered"))
+    decoded = sentence_pieces.decode(encoded, model)
+    return bpe.digests(decoded).drop("ids", "decoded")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 phrases of each language whose words belong together most."""
+    return collocations.collocations(_table(spark, sf_dir, "documents", "text", "lang"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_language_id": op2_language_id,
@@ -131,6 +156,12 @@ QUERIES: dict[str, Query] = {
     "op9_line_dedup": op9_line_dedup,
     "op9_passage_dedup": op9_passage_dedup,
     "op10_token_matrices": op10_token_matrices,
+    "op11_whitening": op11_whitening,
+    "op12_sentence_pieces": op12_sentence_pieces,
+    "op13_collocations": op13_collocations,
 }
 
-ORACLE: dict[str, str] = {"op9_line_dedup": line_dedup.oracle(PASSAGE_WORDS)}
+ORACLE: dict[str, str] = {
+    "op9_line_dedup": line_dedup.oracle(PASSAGE_WORDS),
+    "op13_collocations": collocations.oracle(),
+}
