@@ -6,7 +6,8 @@ import random
 import pytest
 
 from skylag.functions.geo import LOWER_48, WORLD
-from skylag.operators.nearest import nearest_join
+from skylag.operators import nearest
+from skylag.operators.nearest import cell_tree, nearest_join
 
 
 def km(a, b):
@@ -95,3 +96,57 @@ def test_any_nesting_grid_gives_the_same(spark):
     airports, stations = scatter(10, 30, (25, 49), (-126, -61)), scatter(11, 200, (25, 49), (-126, -61))
     for grid in [(4.0,), (16.0, 1.0), (8.0, 1.0, 0.125, 0.015625)]:
         check(spark, airports, stations, LOWER_48, cell_degrees=grid)
+
+
+def test_dense_points_to_seven_decimals(spark):
+    town = ((40.0, 40.0001), (-100.0001, -100.0))
+    check(spark, scatter(12, 60, *town, digits=7), scatter(13, 900, *town, digits=7), LOWER_48)
+
+
+def test_places_on_the_finest_grid_and_at_equal_coordinates(spark):
+    line = [(i, 40.0 + (i % 40) * 1e-7, -100.0) for i in range(400)]
+    check(spark, [(1, 40.0, -100.0), (2, 40.0000021, -100.0), (3, 45.0, -90.0)], line, LOWER_48)
+
+
+@pytest.mark.parametrize("rows_at_most", [0, 10**6])
+def test_salted_and_broadcast_joins_agree(spark, monkeypatch, rows_at_most):
+    monkeypatch.setattr(nearest, "BROADCAST_ROWS", rows_at_most)
+    monkeypatch.setattr(nearest, "_POINTS_A_SALT", 7)
+    airports, stations = scatter(14, 50, (40, 41), (-101, -100)), scatter(15, 400, (40, 41), (-101, -100))
+    check(spark, airports, stations, LOWER_48)
+
+
+def test_only_crowded_cells_are_divided(spark):
+    crowd = scatter(16, 500, (40.0, 40.01), (-100.01, -100.0), digits=5)
+    far = [(1000, 25.0, -70.0), (1001, 48.0, -120.0)]
+    places = spark.createDataFrame(crowd + far, "id int, lat double, lon double").dropDuplicates(["lat", "lon"])
+    tree = cell_tree(places).collect()
+    by_level = {}
+    for cell in tree:
+        by_level.setdefault(cell.level, []).append(cell)
+    assert sum(c.n for c in tree if not c.open) == places.count()
+    assert all(c.n <= nearest.PLACES_IN_A_CELL for c in tree if not c.open)
+    assert len(by_level[0]) == 3 and max(by_level) <= 5
+    assert sum(len(cells) for cells in by_level.values()) < 500
+
+
+def distances_taken(spark, points, places):
+    """Rows of the last join of the search, in a square of some 300 metres."""
+    town = ((40.0, 40.0035), (-100.0035, -100.0))
+    left = spark.createDataFrame(scatter(17, points, *town, digits=7), "airport_id int, lat double, lon double")
+    right = spark.createDataFrame(scatter(18, places, *town, digits=7), "station_id int, lat double, lon double")
+    measured = nearest.measured_pairs(left, right)
+    rows = measured.groupBy("id").count().collect()
+    assert len(rows) == points
+    return sum(r["count"] for r in rows)
+
+
+def test_crowded_square_grows_with_the_points_not_with_the_pairs(spark):
+    """Each point is held against some places, however many there are: 16 and 64 million pairs."""
+    some, more = distances_taken(spark, 2000, 8000), distances_taken(spark, 4000, 16000)
+    assert some < 2000 * 60 and more < 4000 * 60
+
+
+def test_crowded_square_equals_brute_force(spark):
+    town = ((40.0, 40.0035), (-100.0035, -100.0))
+    check(spark, scatter(19, 150, *town, digits=7), scatter(20, 8000, *town, digits=7), LOWER_48)
