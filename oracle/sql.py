@@ -164,9 +164,32 @@ SELECT {listed([f"CAST(min({c}) AS DOUBLE) AS low_{c}, CAST(max({c}) AS DOUBLE)
 FROM train"""
 
 
-TABLES["observed_at_origin"] = """
-SELECT flight_id, station, date FROM bounded LEFT JOIN observed ON origin_station_id = station
-  AND origin_weather_start <= date AND origin_weather_end >= date"""
+for _role in ("origin", "dest"):
+    TABLES[f"observed_at_{_role}"] = f"""
+SELECT flight_id, station, date FROM bounded LEFT JOIN observed ON {_role}_station_id = station
+  AND {_role}_weather_start <= date AND {_role}_weather_end >= date"""
+
+
+def any_label() -> str:
+    """The merge with blocks from the minute of the event to the end of its hour."""
+
+    def label(side: str) -> str:
+        return f"concat(lpad(CAST({side}_time AS VARCHAR), 4, '0'), '-', lpad(CAST({side}_time // 100 AS VARCHAR), 2, '0'), '59')"
+
+    def means(side: str, role: str) -> str:
+        return f"""
+SELECT flight_id, count(station) AS {side}_n_obs, {listed([r6(f"avg({m})", f"{side}_{m}") for m in MEASURES])}
+FROM windowed LEFT JOIN observed ON {role}_station_id = station
+  AND {role}_weather_start <= date AND {role}_weather_end >= date
+GROUP BY flight_id"""
+
+    return f"""{chain("placed")},
+relabelled AS (SELECT * REPLACE ({label("dep")} AS dep_time_blk, {label("arr")} AS arr_time_blk) FROM placed),
+windowed AS (SELECT *, {edges("dep")}, {edges("arr")} FROM relabelled),
+departing AS ({means("dep", "origin")}),
+arriving AS ({means("arr", "dest")})
+SELECT * FROM (SELECT flight_id, dep_time_blk, arr_time_blk FROM relabelled)
+  JOIN departing USING (flight_id) JOIN arriving USING (flight_id)"""
 SCALED_NAMES = {f"{c}_scaled": c for c in SCALED}
 FEATURE_COLUMNS = feature_columns(CARRIERS)
 
@@ -494,6 +517,11 @@ FROM (SELECT flight_id, o.airport_lon AS origin_airport_lon, d.airport_lon AS de
         "observed_at_origin",
         "SELECT flight_id, CAST(station AS VARCHAR) AS station, CAST(date AS VARCHAR) AS date FROM observed_at_origin",
     ),
+    "interval_rows_dest": query(
+        "observed_at_dest",
+        "SELECT flight_id, CAST(station AS VARCHAR) AS station, CAST(date AS VARCHAR) AS date FROM observed_at_dest",
+    ),
+    "flight_weather_any_label": any_label(),
     "confusion": query("flown", MATRIX),
     "metrics": f"""{chain("flown")}, matrix AS ({MATRIX}),
 by_label AS (SELECT l.label, l.support, l.hits, coalesce(CAST(l.hits AS DOUBLE) / p.predicted, 0) AS precision,

@@ -1,5 +1,7 @@
 """Mean weather in the hours before a time block, per station.
 
+Two forms. ``window_means`` takes a list of blocks and gives the means of all of them:
+
 The join of trips with all observations in their window, followed by a mean,
 is turned round: observations are summed per station and slice of an hour, and
 each slice is handed to the blocks whose window covers it. Windows begin and
@@ -7,16 +9,23 @@ end at few marks within an hour, so slices cut at those marks lie wholly inside
 or outside of any window, and the sums are exact. No trip is touched until the
 means are done, and a station with very many observations shrinks to a few rows
 per hour before anything is shuffled.
+
+``label_window_means`` takes the windows that are asked for, whatever their labels. It
+sums observations per station and minute, adds these sums up over each day, and reads the
+running sums at both ends of each window, which lie in the same sorted rows: one window
+function over the union of sums and ends. Running sums begin anew each day, so that a
+station's days are apart (no more than 2,880 sums each, besides the ends asked for) and
+differences of running sums stay exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import TIME_BLOCKS, block_bounds
+from ..functions.blocks import TIME_BLOCKS, block_bounds, window_end, window_start
 
 _MINUTE_US = 60_000_000
 
@@ -112,3 +121,84 @@ def window_means(
         )
     )
     return totals
+
+
+def _minute(at: Column) -> Column:
+    return F.hour(at) * 60 + F.minute(at)
+
+
+def requested_windows(requests: DataFrame, window_hours: int = 10) -> DataFrame:
+    """(station, day, label, start, end) of the requests whose window is not empty.
+
+    A label is ``hhmm-hhmm`` with any minutes. One that is none, or NULL, has no window.
+    """
+    day, label = F.col("day"), F.col("label")
+    bounds = {"start": window_start(day, label, window_hours), "end": window_end(day, label)}
+    return requests.select("station", "day", "label").distinct().withColumns(bounds).filter("start <= end")
+
+
+def label_window_means(
+    observations: DataFrame,
+    windows: DataFrame,
+    measures: Sequence[str],
+    station: str = "station",
+    at: str = "date",
+) -> DataFrame:
+    """Mean of each measure per station, day and label over the window asked for; only
+    windows with an observation.
+
+    ``windows`` are those of ``requested_windows``; both their ends are inside. Gives station,
+    day, label, n_obs and the measures.
+    """
+    time = F.col(at)
+    # Twice the minute of the day, and one more just after it: an end on a minute's first
+    # instant holds what was seen at that instant, and nothing later.
+    place = 2 * _minute(time) + (F.date_part(F.lit("SECOND"), time) > 0).cast("int")
+    counts = ["n_obs", *(f"{kind}_{name}" for name in measures for kind in ("sum", "n"))]
+    sums = observations.groupBy(
+        F.col(station).alias("station"), F.to_date(time).alias("on"), place.alias("place")
+    ).agg(
+        F.count(F.lit(1)).alias("n_obs"),
+        *[
+            found
+            for name in measures
+            for found in (
+                F.coalesce(F.sum(name), F.lit(0.0)).alias(f"sum_{name}"),
+                F.count(name).alias(f"n_{name}"),
+            )
+        ],
+    )
+    # Each day that a window touches, with the first and last place inside it.
+    start, end = F.to_date("start"), F.to_date("end")
+    days = windows.withColumn("on", F.explode(F.sequence(start, end))).withColumns(
+        {
+            "low": F.when(F.col("on") == start, 2 * _minute(F.col("start"))).otherwise(0),
+            "high": F.when(F.col("on") == end, 2 * _minute(F.col("end"))).otherwise(2 * 1440),
+        }
+    )
+    # What lies before the first place is taken off what lies up to the last one.
+    edges = days.select(
+        "station", "on", "day", "label",
+        F.inline(
+            F.array(
+                F.struct(F.col("low").alias("place"), F.lit(0).alias("turn"), F.lit(-1).alias("sign")),
+                F.struct(F.col("high").alias("place"), F.lit(2).alias("turn"), F.lit(1).alias("sign")),
+            )
+        ),
+    )
+    line = sums.withColumn("turn", F.lit(1)).unionByName(edges, allowMissingColumns=True)
+    so_far = (
+        Window.partitionBy("station", "on")
+        .orderBy("place", "turn")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    read = line.select(
+        "station", "day", "label", "sign", *[F.sum(c).over(so_far).alias(c) for c in counts]
+    ).filter("sign IS NOT NULL")
+    totals = read.groupBy("station", "day", "label").agg(
+        *[F.coalesce(F.sum(F.col("sign") * F.col(c)), F.lit(0)).alias(c) for c in counts]
+    )
+    return totals.filter("n_obs > 0").select(
+        "station", "day", "label", "n_obs",
+        *[F.try_divide(F.col(f"sum_{name}"), F.col(f"n_{name}")).alias(name) for name in measures],
+    )

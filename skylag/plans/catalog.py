@@ -269,11 +269,37 @@ def weather_window_join(spark, sf_dir):
     return counted.withColumn("joined_rows", lines)
 
 
-def interval_rows(spark, sf_dir):
-    """Each flight with the observations of its window at the origin."""
-    flights = with_stations(_clean_flights(spark, sf_dir), _nearest(spark, sf_dir))
-    weather = clean.clean_weather(derived.weather(spark, sf_dir))
-    return interval_join(flights, weather, "origin").withColumns(_text("station", "date"))
+def _interval_rows(role: str) -> Query:
+    """Each flight with the observations of its window at one of its airports."""
+
+    def query(spark, sf_dir):
+        flights = with_stations(_clean_flights(spark, sf_dir), _nearest(spark, sf_dir))
+        weather = clean.clean_weather(derived.weather(spark, sf_dir))
+        return interval_join(flights, weather, role).withColumns(_text("station", "date"))
+
+    return query
+
+
+def flight_weather_any_label(spark, sf_dir):
+    """The merge with time blocks that no list holds: from the minute of the event to the
+    end of its hour."""
+    flights = _clean_flights(spark, sf_dir)
+    flights = derived.finished(flights, flights.columns)
+    labels = {
+        f"{side}_time_blk": F.format_string(
+            "%04d-%02d59", f"{side}_time", F.expr(f"{side}_time DIV 100")
+        )
+        for side in ("dep", "arr")
+    }
+    merged = flight_weather(
+        flights.withColumns(labels),
+        _nearest(spark, sf_dir),
+        clean.clean_weather(derived.weather(spark, sf_dir)),
+        counts=True,
+    )
+    measured = [f"{side}_{name}" for side in ("dep", "arr") for name in ("n_obs", *clean.MEASURES)]
+    merged = merged.fillna(0, subset=["dep_n_obs", "arr_n_obs"])
+    return rounded(merged.select("flight_id", "dep_time_blk", "arr_time_blk", *measured))
 
 
 def flight_weather_means(spark, sf_dir):
@@ -509,8 +535,10 @@ QUERIES: dict[str, Query] = {
     "flight_stations": flight_stations,
     "window_bounds": window_bounds,
     "weather_window_join": weather_window_join,
-    "interval_rows": interval_rows,
+    "interval_rows": _interval_rows("origin"),
+    "interval_rows_dest": _interval_rows("dest"),
     "flight_weather": flight_weather_means,
+    "flight_weather_any_label": flight_weather_any_label,
     "arrival_status": arrival_status,
     "dep_delay_by_month": _late_counts("dep_delay", "month"),
     "arr_delay_by_month": _late_counts("arr_delay", "month"),

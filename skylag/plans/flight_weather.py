@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, time, timedelta
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.blocks import TIME_BLOCKS, known_block_code, window_end, window_start
+from ..functions.blocks import window_end, window_start
 from ..functions.geo import LOWER_48, Box
 from ..operators.clean import MEASURES, require_columns
 from ..operators.nearest import nearest_join
-from ..operators.windows import window_means
+from ..operators.windows import label_window_means, requested_windows
 from ..sources.tables import broadcast_if_small, materialize
 
 ROLES = {"origin": "dep", "dest": "arr"}
@@ -79,20 +79,40 @@ def with_stations(flights: DataFrame, nearest: DataFrame) -> DataFrame:
     return flights.select(*names)
 
 
-def near_in_time(weather: DataFrame, flights: DataFrame, window_hours: int = 10) -> DataFrame:
-    """Observations that any flight's window can reach, by the first and last flight date.
+def windows_of(flights: DataFrame, nearest: DataFrame, window_hours: int = 10) -> DataFrame:
+    """The weather windows that flights ask for, each station, day and label once, written.
 
-    One small aggregate of the flights; the bounds are literals and reach the scan.
+    Flights of an airport, day and label count once before they meet the stations, so a hot
+    airport shrinks before any shuffle.
     """
-    first, last = flights.agg(F.min("fl_date"), F.max("fl_date")).first()
+    asked = reduce(
+        DataFrame.unionByName,
+        [
+            flights.select(
+                F.col(role).alias("airport_id"),
+                F.col("fl_date").alias("day"),
+                F.col(f"{side}_time_blk").alias("label"),
+            )
+            for role, side in ROLES.items()
+        ],
+    ).distinct()
+    stations = broadcast_if_small(nearest.select("airport_id", F.col("station_id").alias("station")))
+    return materialize(
+        requested_windows(asked.join(stations, "airport_id"), window_hours), "windows"
+    )
+
+
+def near_in_time(weather: DataFrame, windows: DataFrame) -> DataFrame:
+    """Observations between the first begin and the last end of some windows.
+
+    One small aggregate; the bounds are literals and reach the scan.
+    """
+    first, last = windows.agg(F.min("start"), F.max("end")).first()
     if first is None:
         return weather.filter(F.lit(False))
-    # Windows begin at most that many hours before a day, and end within it.
-    begin = datetime.combine(first, time()) - timedelta(hours=window_hours)
-    end = datetime.combine(last, time()) + timedelta(days=1)
     kind = weather.schema["date"].dataType
-    low, high = (F.lit(edge.isoformat(" ")).cast(kind) for edge in (begin, end))
-    return weather.filter((F.col("date") >= low) & (F.col("date") < high))
+    low, high = (F.lit(edge.isoformat(" ")).cast(kind) for edge in (first, last))
+    return weather.filter((F.col("date") >= low) & (F.col("date") <= high))
 
 
 def interval_join(
@@ -105,28 +125,43 @@ def interval_join(
     """Each flight with each observation of its window at one of its airports.
 
     ``flights`` holds ``<role>_station_id`` beside what the windows need. A flight
-    without observations stays once, with NULL ``station`` and ``date``. Windows are cut
-    into hours, so that the join is one of equal stations and hours, with the exact bounds
-    tested after it: an observation meets only flights whose window touches its hour.
+    without observations stays once, with NULL ``station`` and ``date``, and so does one without
+    a window. Windows are cut into hours, so that the join is one of equal stations and hours,
+    with the exact bounds tested after it: an observation meets only flights whose window
+    touches its hour. It is a left join: each hour without observations keeps a row, and of
+    these rows only that of the first hour stays, and only where the flight's other hours
+    have no observation either.
+
+    Flights alike in ``columns``, station and window stand for themselves: each gives its own
+    rows, and all have the same. ``columns`` need not be a key.
     """
-    start, end = (F.col(f"{role}_weather_{edge}") for edge in ("start", "end"))
     windows = with_window_bounds(flights, window_hours).select(
-        *columns, F.col(f"{role}_station_id").alias("_station"), start.alias("_start"), end.alias("_end")
+        *columns,
+        F.col(f"{role}_station_id").alias("_station"),
+        F.col(f"{role}_weather_start").alias("_start"),
+        F.col(f"{role}_weather_end").alias("_end"),
     )
     first, last = F.date_trunc("hour", "_start"), F.date_trunc("hour", "_end")
-    hours = windows.filter("_start <= _end").withColumn(
-        "_hour", F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR")))
-    )
+    # An empty window keeps its first hour, and one that is NULL a NULL hour, which meet nothing.
+    touched = F.when(F.col("_start") <= F.col("_end"), F.sequence(first, last, F.expr("INTERVAL 1 HOUR")))
+    hours = windows.withColumn("_hour", F.explode(F.coalesce(touched, F.array(first))))
     seen = weather.select("station", "date", F.date_trunc("hour", "date").alias("_seen"))
     met = hours.join(
         seen,
         (F.col("_station") == F.col("station"))
         & (F.col("_hour") == F.col("_seen"))
         & F.col("date").between(F.col("_start"), F.col("_end")),
-    ).select(*columns, "station", "date")
-    without = windows.select(*columns).join(met.select(*columns).distinct(), list(columns), "left_anti")
-    nothing = [F.lit(None).cast(met.schema[n].dataType).alias(n) for n in ("station", "date")]
-    return met.unionByName(without.select(*columns, *nothing))
+        "left",
+    )
+    flight = Window.partitionBy(*columns, "_station", "_start", "_end")
+    kept = F.col("station").isNotNull() | (
+        (F.col("_matches") == 0) & F.col("_hour").eqNullSafe(F.date_trunc("hour", "_start"))
+    )
+    return (
+        met.withColumn("_matches", F.count("station").over(flight))
+        .filter(kept)
+        .select(*columns, "station", "date")
+    )
 
 
 def flight_weather(
@@ -134,28 +169,24 @@ def flight_weather(
     nearest: DataFrame,
     weather: DataFrame,
     window_hours: int = 10,
-    blocks: Sequence[str] = TIME_BLOCKS,
     measures: Sequence[str] = MEASURES,
     counts: bool = False,
 ) -> DataFrame:
     """Cleaned flights with mean measures ``dep_*`` and ``arr_*`` of their windows.
 
-    A flight without observations keeps NULL means. ``counts`` adds how many
+    Time blocks may have any label of the form ``hhmm-hhmm``. A flight without observations
+    keeps NULL means, and so does one whose label is none. ``counts`` adds how many
     observations each window held.
 
-    The means are written and read back. Both joins then read the finished
-    table: broadcast where its size allows, else shuffled with nothing between
+    The windows asked for and their means are written and read back. Both joins then read the
+    finished table: broadcast where its size allows, else shuffled with nothing between
     shuffle and join, so that adaptive execution can split the flights of a hot
     station and block.
     """
+    windows = windows_of(flights, nearest, window_hours)
     used = broadcast_if_small(nearest.select(F.col("station_id").alias("station")))
-    weather = near_in_time(weather, flights, window_hours)
-    means = materialize(
-        window_means(
-            weather.join(used, "station", "left_semi"), measures, blocks, window_hours
-        ),
-        "window-means",
-    )
+    seen = near_in_time(weather, windows).join(used, "station", "left_semi")
+    means = materialize(label_window_means(seen, windows, measures), "window-means")
     merged = with_stations(flights, nearest)
     names = list(merged.columns)
     for role, side in ROLES.items():
@@ -164,15 +195,12 @@ def flight_weather(
             columns.append(F.col("n_obs").alias(f"{side}_n_obs"))
         window = means.select(
             F.col("station").alias(f"{role}_station_id"),
-            F.col("window_day").alias("fl_date"),
-            F.col("block").alias(f"{side}_block"),
+            F.col("day").alias("fl_date"),
+            F.col("label").alias(f"{side}_time_blk"),
             *columns,
         )
-        keyed = merged.withColumn(
-            f"{side}_block", known_block_code(F.col(f"{side}_time_blk"), blocks)
-        )
-        merged = keyed.join(
-            window, [f"{role}_station_id", "fl_date", f"{side}_block"], "left"
+        merged = merged.join(
+            window, [f"{role}_station_id", "fl_date", f"{side}_time_blk"], "left"
         )
         names += window.columns[3:]
     return merged.select(*names)
