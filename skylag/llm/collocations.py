@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -102,7 +103,7 @@ def counted_block(
 ) -> pa.RecordBatch:
     """(lang, bucket, lines) of some distinct chunks of one language.
 
-    A line is a phrase, a tab and its count.
+    A line is a phrase, a tab and its count; the lines of a bucket are compressed together.
     """
     lists = pc.split_pattern(chunks, " ")
     coded = lists.flatten().dictionary_encode()
@@ -141,10 +142,12 @@ def counted_block(
     edges = np.flatnonzero(np.diff(place, prepend=place[:1] + np.uint64(1)))
     dealt = pa.concat_arrays(lines).take(pa.array(order))
     bounds = pa.array(np.append(edges, len(place)), pa.int32())
+    squeeze = zstandard.ZstdCompressor().compress
+    lines = pc.binary_join(pa.ListArray.from_arrays(bounds, dealt), "\n").cast(pa.binary())
     made = [
         pa.array([lang] * len(edges), pa.string()),
         pa.array(place[edges].astype("<i8")),
-        pc.binary_join(pa.ListArray.from_arrays(bounds, dealt), "\n"),
+        pa.array([squeeze(line) for line in lines.to_pylist()], pa.binary()),
     ]
     return pa.record_batch(made, ["lang", "bucket", "lines"])
 
@@ -178,13 +181,14 @@ def bucket_counts(chunks: DataFrame, max_words: int, buckets: int) -> DataFrame:
         if held:
             yield from blocks()
 
-    return chunks.mapInArrow(run, "lang string, bucket long, lines string")
+    return chunks.mapInArrow(run, "lang string, bucket long, lines binary")
 
 
-def summed_bucket(lines: list[pa.Array]) -> pa.Table:
-    """(phrase, f) out of the lines of one bucket."""
-    parts = [pc.split_pattern(part, "\n").flatten() for part in lines]
-    cells = pc.split_pattern(pa.concat_arrays(parts), "\t").flatten()
+def summed_bucket(lines: list[bytes]) -> pa.Table:
+    """(phrase, f) out of the compressed lines of one bucket."""
+    opened = zstandard.ZstdDecompressor().decompress
+    texts = pa.array([opened(part) for part in lines], pa.binary()).cast(pa.string())
+    cells = pc.split_pattern(pc.split_pattern(texts, "\n").flatten(), "\t").flatten()
     even = pa.array(np.arange(0, len(cells), 2))
     table = pa.table(
         {
@@ -213,7 +217,7 @@ def phrase_counts(
     size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
     buckets = -(-size // BUCKET_BYTES) or 1
     chunks = dictionary(df, text, lang, max_words - 1, every)
-    packed = bucket_counts(chunks, max_words, buckets)
+    packed = bucket_counts(chunks, max_words, buckets).select("bucket", "lang", "lines")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, lines = None, []
@@ -232,13 +236,12 @@ def phrase_counts(
             return pa.record_batch(made, ["lang", "phrase", "f"])
 
         for batch in batches:
-            rows = zip(batch["bucket"].to_pylist(), batch["lang"].to_pylist(), strict=True)
-            for at, key in enumerate(rows):
-                if key != held and lines:
+            for bucket, lang, part in zip(*batch.to_pydict().values(), strict=True):
+                if (bucket, lang) != held and lines:
                     yield done()
                     lines = []
-                held = key
-                lines.append(batch["lines"].slice(at, 1))
+                held = bucket, lang
+                lines.append(part)
         if lines:
             yield done()
 
