@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.tables import sql_over
-from .quantiles import PARTS, quantiles
+from .quantiles import MOST, quantiles
 
 
 # Per pair of columns, over the rows that have both: count, sums, sums of squares
@@ -101,8 +101,8 @@ def describe_text(df: DataFrame, names: Sequence[str] | None = None) -> DataFram
     )
 
 
-def summary(df: DataFrame, names: Sequence[str], parts: int = PARTS) -> DataFrame:
-    """Mean, median, greatest and least of some columns; ``parts`` as for ``quantiles``."""
+def summary(df: DataFrame, names: Sequence[str], most: int = MOST) -> DataFrame:
+    """Mean, median, greatest and least of some columns; ``most`` as for ``quantiles``."""
     plain = _one_row_per_column(
         df,
         names,
@@ -113,7 +113,7 @@ def summary(df: DataFrame, names: Sequence[str], parts: int = PARTS) -> DataFram
         },
     )
     values = _one_row_per_value(df, names)
-    medians = quantiles(values, "value", {"median": 0.5}, ["column_name"], parts)
+    medians = quantiles(values, "value", {"median": 0.5}, ["column_name"], most)
     return plain.join(medians.select("column_name", "median"), "column_name", "left")
 
 

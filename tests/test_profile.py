@@ -3,9 +3,10 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from skylag.operators import profile
-from skylag.operators.quantiles import box_summary, quantiles
+from skylag.operators.quantiles import bounded_ranks, box_summary, quantiles
 from skylag.operators.row_ids import with_row_id
 
 
@@ -64,10 +65,10 @@ def test_histogram_of_a_constant(spark):
 
 
 @pytest.mark.parametrize("value", ["x", "y", "z"])
-@pytest.mark.parametrize("parts", [1, 7])
-def test_quantiles(df, frame, value, parts):
+@pytest.mark.parametrize("most", [1, 7])
+def test_quantiles(df, frame, value, most):
     probabilities = {"p10": 0.1, "median": 0.5, "p99": 0.99}
-    rows = quantiles(df, value, probabilities, ["g"], parts).collect()
+    rows = quantiles(df, value, probabilities, ["g"], most).collect()
     assert len(rows) == 3
     for r in rows:
         values = frame[frame.g == r.g][value].dropna()
@@ -106,3 +107,55 @@ def test_row_ids_do_not_hang_on_partitions(spark):
     one, other = (with_row_id(df.repartition(n), "key", parts=n) for n in (3, 11))
     want = [(i * 3, i) for i in range(1000)]
     assert sorted(map(tuple, one.collect())) == want == sorted(map(tuple, other.collect()))
+
+
+@pytest.fixture(scope="module")
+def many_values(spark):
+    """200,000 different values in one group, half of all rows at three values in the other."""
+    draw = np.random.default_rng(8)
+    values = pd.DataFrame(
+        {
+            "g": np.repeat(["wide", "ties"], 200_000),
+            "v": np.concatenate(
+                [
+                    draw.standard_cauchy(200_000) * 10.0 ** draw.integers(-200, 200, 200_000),
+                    np.where(draw.random(200_000) < 0.5, draw.integers(0, 3, 200_000), draw.normal(size=200_000)),
+                ]
+            ),
+        }
+    )
+    return values, spark.createDataFrame(values).repartition(9)
+
+
+@pytest.mark.parametrize("most", [1, 300])
+def test_quantiles_of_many_values(many_values, most):
+    frame, df = many_values
+    probabilities = {"least": 0.0, "p1": 0.01, "median": 0.5, "p80": 0.8, "greatest": 1.0}
+    for r in quantiles(df, "v", probabilities, ["g"], most).collect():
+        values = np.sort(frame[frame.g == r.g].v)
+        want = np.quantile(values, list(probabilities.values()))
+        assert [r[name] for name in probabilities] == pytest.approx(list(want), rel=1e-12)
+
+
+def test_only_bounded_intervals_are_sorted(many_values):
+    """What is left to sort does not hang on the number of values."""
+    frame, df = many_values
+    rows = df.select("g", "v")
+    ranks = rows.groupBy("g").agg(F.count("*").alias("n")).selectExpr("g", "n", "explode(array(0L, 99999L, 150000L)) AS rank")
+    for r in bounded_ranks(rows, ranks, ["g"], 500).collect():
+        values = np.sort(frame[frame.g == r.g].v)
+        if r.found is not None:
+            assert values[r.rank] == r.found
+            continue
+        low, high = -np.inf if r.low is None else r.low, np.inf if r.high is None else r.high
+        assert r.inside <= 500
+        assert r.inside == ((values > low) & (values < high)).sum()
+        assert r.before == (values <= low).sum() and r.before <= r.rank < r.before + r.inside
+
+
+def test_quantiles_of_odd_groups(spark):
+    rows = [(None, 1.0), ("a", None), ("b", 5.0), ("b", float("inf")), ("b", 5.0), ("c", -0.0), ("c", 0.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: (r.n, r.m) for r in quantiles(df, "v", {"m": 0.5}, ["g"], 1).collect()}
+    assert got == {"b": (3, 5.0), "c": (2, 0.0)}
+    assert quantiles(df.filter("g = 'x'"), "v", {"m": 0.5}, ["g"]).count() == 0
