@@ -65,6 +65,11 @@ class Memo(dict):
                 self.clear()
             self[key] = value
 
+    def forget(self) -> None:
+        """Give up all that is held; workers outlive their tasks."""
+        self.clear()
+        self.old = {}
+
     def lacks(self, keys: set) -> set:
         """The keys that are not held."""
         # One lookup a key; a set's own difference would walk through all that is held.

@@ -62,14 +62,16 @@ class WordTokens:
         return self._ids(text).tobytes()
 
     def learn(self, texts: list[list[bytes]]) -> None:
-        """Encode the new words of letters of some texts together."""
-        words = set()
+        """Encode the new parts of some texts that are words of letters, with what follows them."""
+        forms = []
         for part in self.parts.lacks(set().union(*texts)):
             if len(part) <= self.parts.longest:
                 text = part.decode("utf-8", "replace")
-                words.add(plain_word(text.rstrip(string.punctuation)))
-        words.discard(None)
-        new = [w.decode() for w in self.parts.lacks({w.encode() for w in words})]
+                stem = text.rstrip(string.punctuation)
+                word = plain_word(stem)
+                if word is not None:
+                    forms.append((part, word.encode(), text[len(stem) :].encode()))
+        new = [w.decode() for w in self.parts.lacks({word for _, word, _ in forms})]
         for start in range(0, len(new), _TOGETHER):
             some = new[start : start + _TOGETHER]
             ids = self._ids(" ".join(some))
@@ -80,6 +82,10 @@ class WordTokens:
             for word, end in zip(some, (4 * ends).tolist(), strict=True):
                 self.parts.put(word.encode(), raw[begin:end])
                 begin = end
+        parts = self.parts
+        for part, word, tail in forms:
+            if part != word:
+                parts.put(part, parts[word] + parts[tail] if tail else parts[word])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of whole texts as little-endian unsigned 32-bit numbers."""
@@ -90,7 +96,7 @@ class WordTokens:
 
 @functools.lru_cache(maxsize=2)
 def word_tokens(content: str) -> WordTokens:
-    """The encoder of a tokenizer file's content; a worker builds it once."""
+    """The encoder of a tokenizer file's content; a worker builds it once, tasks empty its memo."""
     return WordTokens(content)
 
 
@@ -128,6 +134,12 @@ def pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_tokens(content.value)
+        try:
+            yield from cut_batches(encoder, batches)
+        finally:
+            encoder.parts.forget()
+
+    def cut_batches(encoder: WordTokens, batches) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows: list[int] = []
             columns: list[list] = [[], [], [], [], []]
