@@ -25,13 +25,13 @@ empty table gives an empty table. Columns named like the results are replaced.
 from __future__ import annotations
 
 import random
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ LEXICON_DOCUMENTS = 3
 PART = 256
 # Characters of a word that are looked at together; longer words are cut.
 _LONGEST = 40
-_NO_LETTER = re.compile(r"[\W\d_]+")
+_NO_LETTER = regex.compile(r"\P{L}+")
 
 
 def words_of(text: str) -> list[str]:
@@ -334,6 +334,13 @@ def labelled(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         memo = WordScores(own) if own else None
+        try:
+            yield from labelled_batches(own, memo, batches)
+        finally:
+            if memo:
+                memo.rows.forget()
+
+    def labelled_batches(own, memo, batches) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4096):
             names, scores, runs = _of_batch(own, memo, texts(batch[text]), with_runs)
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]

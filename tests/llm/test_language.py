@@ -119,3 +119,15 @@ def test_null_keys_are_not_held_out_and_not_learned_from(spark, tmp_path):
     found = {r.doc_id: r for r in QUERIES["op2_language_id"](spark, folder).collect()}
     assert found[None].held_out is False and len(found) == 3
     assert found[3].lang_pred == "und"
+
+
+def test_numbers_of_any_kind_are_no_letters(spark):
+    import unicodedata
+
+    numeric = [c for c in map(chr, range(0x110000)) if unicodedata.category(c) in ("Nd", "Nl", "No")]
+    learned = [(i, text, lang) for i in range(40) for text, lang in (("der und die das", "de"), ("the of and", "en"))]
+    asked = [(100, " ".join(numeric), None), (101, "½ ² ③", None), (102, "Ⅷ", None), (103, "½ der ②", None)]
+    df = spark.createDataFrame(learned + asked, "doc_id long, text string, lang string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in language.predicted(df).collect()}
+    assert [found[k] for k in (100, 101, 102)] == [("und", 0.0)] * 3
+    assert found[103][0] == "de"
