@@ -330,6 +330,12 @@ FROM flown GROUP BY arr_del15, dep_del15"""
 
 ORACLE: dict[str, str] = {
     "src_csv_roundtrip": STATIONS_SQL,
+    "src_csv_malformed": f"""
+WITH cells AS (SELECT station_id % 7 AS seven, station_id % 5 AS five, station_id FROM ({STATIONS_SQL}) s)
+SELECT 'lat' AS column_name, CASE seven WHEN 0 THEN 'n/a' ELSE concat('4', chr(10), '0') END AS value, count(*) AS n
+FROM cells WHERE seven < 2 GROUP BY ALL
+UNION ALL
+SELECT 'lon', concat(station_id, ' west'), count(*) FROM cells WHERE five = 0 GROUP BY ALL""",
     "src_parquet": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
     "src_parquet_glob": query(
         "flown",
@@ -481,6 +487,15 @@ FROM (SELECT flight_id, o.airport_lon AS origin_airport_lon, d.airport_lon AS de
   FROM flights f JOIN nearest o ON f.origin = o.airport_id JOIN nearest d ON f.dest = d.airport_id) p""",
     ),
     "carrier_dummies": query("flights", f"SELECT flight_id, {listed(DUMMIES)} FROM flights"),
+    "category_positions": query(
+        "flights",
+        """
+SELECT flight_id, route, coalesce(position, -1) AS position
+FROM (SELECT flight_id, concat(op_unique_carrier, '-', origin, '-', dest) AS route FROM flights) f
+LEFT JOIN (SELECT route, row_number() OVER (ORDER BY route) - 1 AS position FROM (
+  SELECT DISTINCT concat(op_unique_carrier, '-', origin, '-', dest) AS route FROM flights WHERE year <> 2001)) k
+USING (route)""",
+    ),
     "surrogate_id": query(
         "flights",
         "SELECT flight_id, op_unique_carrier, row_number() OVER (ORDER BY flight_id) - 1 AS row_id FROM flights",

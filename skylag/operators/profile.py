@@ -14,10 +14,20 @@ from ..sources.tables import sql_over
 from .quantiles import MOST, quantiles
 
 
-# Per pair of columns, over the rows that have both: count, sums, sums of squares
-# and of products.
+# Per pair of columns, over the rows that have both: count, means, and sums of squares and of
+# products of what values differ from the means.
 _MOMENTS = ("n", "x", "y", "xx", "yy", "xy")
 
+# Two sets of moments as those of both together, as SQL.
+_MERGED = """
+named_struct('n', a.n + b.n,
+  'x', a.x + (b.x - a.x) * coalesce(try_divide(b.n, a.n + b.n), 0D),
+  'y', a.y + (b.y - a.y) * coalesce(try_divide(b.n, a.n + b.n), 0D),
+  'xx', a.xx + b.xx + (b.x - a.x) * (b.x - a.x) * coalesce(try_divide(a.n * b.n, a.n + b.n), 0D),
+  'yy', a.yy + b.yy + (b.y - a.y) * (b.y - a.y) * coalesce(try_divide(a.n * b.n, a.n + b.n), 0D),
+  'xy', a.xy + b.xy + (b.x - a.x) * (b.y - a.y) * coalesce(try_divide(a.n * b.n, a.n + b.n), 0D))
+"""
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -134,50 +144,81 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
+def _merged(one: list[np.ndarray] | None, other: list[np.ndarray]) -> list[np.ndarray]:
+    """Moments of two sets of rows as those of both together."""
+    if one is None:
+        return other
+    n = one[0] + other[0]
+    part = np.divide(other[0], n, out=np.zeros_like(n), where=n > 0)
+    dx, dy, weight = other[1] - one[1], other[2] - one[2], one[0] * part
+    return [
+        n,
+        one[1] + dx * part,
+        one[2] + dy * part,
+        one[3] + other[3] + dx * dx * weight,
+        one[4] + other[4] + dy * dy * weight,
+        one[5] + other[5] + dx * dy * weight,
+    ]
+
+
+def _moments_of(raw: np.ndarray) -> list[np.ndarray]:
+    """Moments of all pairs of the columns of a matrix; NaN is a missing value.
+
+    Values are measured from the means of their columns here. A column with an infinite value
+    has no moments.
+    """
+    infinite = np.isinf(raw).any(axis=0)
+    raw = np.where(np.isinf(raw), np.nan, raw)
+    there = (~np.isnan(raw)).astype("float64")
+    counts = there.sum(axis=0)
+    centre = np.divide(np.nansum(raw, axis=0), counts, out=np.zeros(len(counts)), where=counts > 0)
+    x = np.nan_to_num(raw - centre)
+    n, sums = there.T @ there, x.T @ there
+    means = np.divide(sums, n, out=np.zeros_like(n), where=n > 0)
+    squares = (x * x).T @ there - sums * means
+    squares[infinite] = np.nan
+    away = centre[:, None] + means
+    return [n, away, away.T, squares, squares.T, x.T @ x - sums * means.T]
+
+
 def correlations(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of each pair of columns over the rows that have both.
 
-    The moments of all pairs are matrix products, taken per Arrow batch and
-    added up per task; a task hands on one row per pair. Values are measured
-    from the column means, which a first pass gives.
+    One pass: the moments of all pairs are matrix products, taken per Arrow batch about the
+    batch's own means and merged pairwise, so that large values lose no digits. A task
+    hands on one row per pair, and these few are merged in the same way. A pair with a
+    constant column has no correlation (NULL), and neither has one with a column that holds
+    an infinite value; NaN counts as missing.
     """
     names = list(names or numeric_columns(df))
     values = df.selectExpr(*[f"CAST(`{name}` AS DOUBLE) AS `{name}`" for name in names])
-    means = values.agg(*[F.avg(name).alias(name) for name in names]).first()
-    centre = np.array([0.0 if mean is None else mean for mean in means])
     upper = np.triu_indices(len(names))
 
     def moments(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((6, len(names), len(names)))
+        total = None
         for batch in batches:
-            raw = batch.to_numpy(dtype="float64") - centre
-            there = (~np.isnan(raw)).astype("float64")
-            x = np.nan_to_num(raw)
-            left, squares = x.T @ there, (x * x).T @ there
-            total += np.stack([there.T @ there, left, left.T, squares, squares.T, x.T @ x])
+            if len(batch):
+                total = _merged(total, _moments_of(batch.to_numpy(dtype="float64")))
+        if total is None:
+            total = [np.zeros((len(names), len(names)))] * len(_MOMENTS)
         columns = dict(zip(_MOMENTS, (table[upper] for table in total)))
         yield pd.DataFrame({"i": upper[0], "j": upper[1], **columns})
 
     schema = "i int, j int, " + ", ".join(f"{name} double" for name in _MOMENTS)
-    sums = (
+    none = "named_struct(" + ", ".join(f"'{name}', 0D" for name in _MOMENTS) + ")"
+    merged = (
         values.mapInPandas(moments, schema)
         .groupBy("i", "j")
-        .agg(*[F.sum(name).alias(name) for name in _MOMENTS])
+        .agg(F.collect_list(F.struct(*_MOMENTS)).alias("parts"))
+        .selectExpr("i", "j", f"inline(array(aggregate(parts, {none}, (a, b) -> {_MERGED})))")
     )
     labels = ", ".join(f"'{name}'" for name in names)
-    half = sums.selectExpr(
-        "i",
-        "j",
-        "xx - x * try_divide(x, n) AS var_x",
-        "yy - y * try_divide(y, n) AS var_y",
-        "xy - x * try_divide(y, n) AS cov",
-        "xx",
-        "yy",
-    ).selectExpr(
+    half = merged.selectExpr(
         "i",
         "j",
         # What is left of a constant column is rounding noise.
-        "if(var_x > 1e-12 * xx AND var_y > 1e-12 * yy, cov / sqrt(var_x * var_y), NULL) AS r",
+        "if(xx > 1e-28 * n * x * x AND yy > 1e-28 * n * y * y AND NOT isnan(xx) AND NOT isnan(yy),"
+        " xy / sqrt(xx * yy), NULL) AS r",
     )
     both = half.selectExpr("i", "j", "r", "explode(if(i = j, array(0), array(0, 1))) AS side")
     return both.selectExpr(

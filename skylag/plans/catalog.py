@@ -21,6 +21,7 @@ from ..operators.sampling import md5_draw, modular_draw, split_by_year, undersam
 from ..session import scratch_path
 from ..sources import derived
 from ..sources.tables import (
+    malformed_cells,
     materialize,
     read_csv,
     read_parquet,
@@ -108,6 +109,21 @@ def src_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, schema)
 
 
+def src_csv_malformed(spark, sf_dir):
+    """Cells of a file that are no numbers, some with line ends inside quotes."""
+    path = scratch_path(spark, "stations-csv")
+    rows = derived.stations(spark, sf_dir).selectExpr(
+        "station_id",
+        "CASE WHEN station_id % 7 = 0 THEN 'n/a' WHEN station_id % 7 = 1 THEN concat('4', chr(10), '0')"
+        " ELSE '40.5' END AS lat",
+        "CASE WHEN station_id % 5 = 0 THEN concat(station_id, ' west') ELSE '-100' END AS lon",
+        "CASE WHEN station_id % 3 > 0 THEN neighbor_id END AS neighbor_id",
+    )
+    rows.write.option("header", True).csv(path)
+    schema = "station_id bigint, lat double, lon double, neighbor_id int"
+    return malformed_cells(spark, path, schema, multiline=True)
+
+
 def src_parquet(spark, sf_dir):
     return read_parquet(spark, f"{sf_dir}/orders.parquet").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority"
@@ -411,6 +427,17 @@ def carrier_dummies(spark, sf_dir):
     return flights.select("flight_id", *[c.alias(name) for name, c in columns.items()])
 
 
+def category_positions(spark, sf_dir):
+    """Positions of routes in sparse vectors, learned from all years but the last."""
+    flights = derived.flights(spark, sf_dir).selectExpr(
+        "flight_id", "year", "concat_ws('-', op_unique_carrier, origin, dest) AS route"
+    )
+    known = encode.category_dictionary(flights.filter(F.col("year") != derived.TEST_YEAR), "route")
+    return encode.category_vectors(flights, "route", known, "vector", "position").select(
+        "flight_id", "route", F.coalesce("position", F.lit(-1)).alias("position")
+    )
+
+
 def composite_id(spark, sf_dir):
     """Rows numbered by a key of several columns."""
     rows = derived.flights(spark, sf_dir).select(
@@ -491,6 +518,15 @@ def _model(name: str) -> Query:
     return query
 
 
+def _grid_scores(name: str) -> Query:
+    def query(spark, sf_dir):
+        train = _for_models(_prepared(spark, sf_dir)).train
+        predictions = models.grid_predictions(_candidates()[name], train, derived.CARRIERS)
+        return rounded(models.grid_scores(predictions))
+
+    return query
+
+
 def leaderboard(spark, sf_dir):
     prepared = _for_models(_prepared(spark, sf_dir))
     candidates = models.all_candidates()
@@ -512,6 +548,7 @@ def rule_metrics(spark, sf_dir):
 
 QUERIES: dict[str, Query] = {
     "src_csv_roundtrip": src_csv_roundtrip,
+    "src_csv_malformed": src_csv_malformed,
     "src_parquet": src_parquet,
     "src_parquet_glob": src_parquet_glob,
     "sink_parquet": sink_parquet,
@@ -560,6 +597,7 @@ QUERIES: dict[str, Query] = {
     "block_code": block_codes,
     "lon_zone": lon_zone,
     "carrier_dummies": carrier_dummies,
+    "category_positions": category_positions,
     "surrogate_id": surrogate_id,
     "composite_id": composite_id,
     "undersample_hash": undersample_hash,
@@ -572,6 +610,8 @@ QUERIES: dict[str, Query] = {
     "dt_cv": _model("dt_cv"),
     "rf_cv": _model("rf_cv"),
     "gbt_cv": _model("gbt_cv"),
+    "lr_enet_grid": _grid_scores("lr_enet_cv"),
+    "dt_grid": _grid_scores("dt_cv"),
     "leaderboard": leaderboard,
     "confusion": confusion_matrix,
     "metrics": rule_metrics,

@@ -23,26 +23,60 @@ AIRPORTS_CSV = T.StructType(
 BROADCAST_ROWS = 200_000
 
 
+def _csv_texts(
+    spark: SparkSession, path: str, schema: T.StructType | str, sep: str, multiline: bool
+) -> tuple[DataFrame, T.StructType]:
+    """The columns of a schema as texts, by header name, and the schema."""
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    reader = spark.read.option("header", True).option("sep", sep).option("multiLine", multiline)
+    rows = reader.csv(path)
+    present = {name.strip().lower(): name for name in rows.columns}
+    absent = [f.name for f in schema.fields if f.name.lower() not in present]
+    if absent:
+        raise ValueError(f"columns {absent} are not in the header {rows.columns} of {path}")
+    return rows.select(*[F.col(f"`{present[f.name.lower()]}`").alias(f.name) for f in schema.fields]), schema
+
+
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str = AIRPORTS_CSV, sep: str = ","
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str = AIRPORTS_CSV,
+    sep: str = ",",
+    multiline: bool = False,
 ) -> DataFrame:
     """The columns of a schema out of CSV files with a header line, by name.
 
     The files' columns may stand in any order and be more; an absent one is an
     error. Values are cast to the schema's types, and what is no such value becomes
-    NULL. No job runs to guess types, only one to read the header.
+    NULL; ``malformed_cells`` reports these. No job runs to guess types, only one to read
+    the header. ``multiline`` allows line ends inside quotes; a file is then one task's work.
     """
-    if isinstance(schema, str):
-        schema = T.StructType.fromDDL(schema)
-    rows = spark.read.option("header", True).option("sep", sep).csv(path)
-    present = {name.strip().lower(): name for name in rows.columns}
-    absent = [f.name for f in schema.fields if f.name.lower() not in present]
-    if absent:
-        raise ValueError(f"columns {absent} are not in the header {rows.columns} of {path}")
-    quoted = {f.name: F.col(f"`{present[f.name.lower()]}`") for f in schema.fields}
-    return rows.select(
-        *[quoted[f.name].try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    texts, schema = _csv_texts(spark, path, schema, sep, multiline)
+    return texts.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def malformed_cells(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str = AIRPORTS_CSV,
+    sep: str = ",",
+    multiline: bool = False,
+) -> DataFrame:
+    """(column_name, value, n): the cells that ``read_csv`` turns into NULL, and how often.
+
+    Cells of all columns are looked at in one pass; only malformed ones go on to the grouping.
+    """
+    texts, schema = _csv_texts(spark, path, schema, sep, multiline)
+    cells = [
+        F.when(
+            F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull(),
+            F.struct(F.lit(f.name).alias("column_name"), F.col(f.name).alias("value")),
+        )
+        for f in schema.fields
+    ]
+    bad = texts.select(F.inline(F.array_compact(F.array(*cells))))
+    return bad.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -21,7 +21,7 @@ from skylag.functions.flags import (
 )
 from skylag.functions.geo import LOWER_48, US_BOXES, haversine_km, in_any_box, longitude_zone
 from skylag.operators import clean
-from skylag.operators.encode import categories, dummies
+from skylag.operators.encode import categories, category_dictionary, category_vectors, dummies
 
 
 def column(spark, values, kind, expression):
@@ -140,3 +140,21 @@ def test_dummies_for_absent_and_null_values(spark):
     assert categories(df, "carrier") == ["AA", "UA"]
     with pytest.raises(ValueError):
         categories(df, "carrier", most=1)
+
+
+def test_a_hundred_thousand_categories(spark):
+    df = spark.range(100_000).selectExpr("id", "concat('c', lpad(id, 6, '0')) AS name").repartition(7)
+    known = category_dictionary(df, "name")
+    found = category_vectors(df.filter("id % 9999 = 0"), "name", known, "vector", "position").collect()
+    assert len(found) == 11
+    for r in found:
+        assert r.position == r.id and r.vector.size == 100_000
+        assert (r.vector.indices.tolist(), r.vector.values.tolist()) == ([r.id], [1.0])
+
+
+def test_unseen_and_null_categories_have_no_one(spark):
+    known = category_dictionary(spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "v string"), "v")
+    assert sorted(map(tuple, known.collect())) == [("a", 0), ("b", 1)]
+    df = spark.createDataFrame([(1, "b"), (2, "z"), (3, None)], "k int, v string")
+    got = {r.k: (r.x.toArray().tolist(), r.p) for r in category_vectors(df, "v", known, "x", "p").collect()}
+    assert got == {1: ([0.0, 1.0], 1), 2: ([0.0, 0.0], None), 3: ([0.0, 0.0], None)}

@@ -159,3 +159,24 @@ def test_quantiles_of_odd_groups(spark):
     got = {r.g: (r.n, r.m) for r in quantiles(df, "v", {"m": 0.5}, ["g"], 1).collect()}
     assert got == {"b": (3, 5.0), "c": (2, 0.0)}
     assert quantiles(df.filter("g = 'x'"), "v", {"m": 0.5}, ["g"]).count() == 0
+
+
+def test_correlations_of_large_values_in_one_scan(spark):
+    draw = np.random.default_rng(4)
+    small = draw.normal(size=(5000, 2))
+    frame = pd.DataFrame({"a": 1e9 + small[:, 0], "b": 1e9 + small[:, 0] + 0.1 * small[:, 1], "c": -1e9 + small[:, 1]})
+    df = spark.createDataFrame(frame).repartition(7)
+    found = profile.correlations(df)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    want = (frame - [1e9, 1e9, -1e9]).corr()
+    for r in found.collect():
+        assert r.r == pytest.approx(want.loc[r.column_a, r.column_b], abs=1e-7)
+
+
+def test_correlations_of_odd_columns(spark):
+    rows = [(1.0, 2.0, 5.0, None, float("inf")), (2.0, float("nan"), 5.0, None, 1.0), (3.0, 7.0, 5.0, None, 2.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    got = {(r.column_a, r.column_b): r.r for r in profile.correlations(df).collect()}
+    assert got["a", "a"] == pytest.approx(1) and got["a", "b"] == pytest.approx(1)
+    assert {got[pair] for pair in got if set(pair) & set("cde")} == {None}
+    assert {r.r for r in profile.correlations(df.filter("a > 9")).collect()} == {None}

@@ -6,7 +6,7 @@ from compare import connect, differences
 from oracle.sql import ORACLE
 from skylag.plans.catalog import QUERIES
 
-WITHOUT_TWIN = {"lr_base", "lr_enet_cv", "dt_cv", "rf_cv", "gbt_cv", "leaderboard"}
+WITHOUT_TWIN = {"lr_base", "lr_enet_cv", "dt_cv", "rf_cv", "gbt_cv", "leaderboard", "lr_enet_grid", "dt_grid"}
 
 
 @pytest.fixture(scope="module")
