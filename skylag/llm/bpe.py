@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -104,31 +105,53 @@ class ByteBpe:
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(ranks))
-        self.units = Memo(self._encode_unit)
+        self.units = Memo(lambda unit: self._encode_units([unit])[0])
         self.pieces = [piece for piece, _ in sorted(ranks.items(), key=lambda item: item[1])]
 
-    def _encode_unit(self, unit: str) -> bytes:
-        ids: list[int] = []
-        for match in self.pattern.findall(unit):
-            piece = match.encode()
-            rank = self.ranks.get(piece)
+    def _encode_units(self, units: list[str]) -> list[bytes]:
+        """Ids of each unit; all pre-tokens that are no entries go to the model in one call."""
+        split = [self.pattern.findall(unit) for unit in units]
+        found: dict[str, bytes] = {}
+        unknown = []
+        for match in set().union(*split):
+            rank = self.ranks.get(match.encode())
             if rank is None:
-                ids.extend(self.model.encode(as_chars(piece), num_threads=1))
+                unknown.append(match)
             else:
-                ids.append(rank)
-        return np.asarray(ids, "<i4").tobytes()
+                found[match] = rank.to_bytes(4, "little")
+        if unknown:
+            lists = self.model.encode([as_chars(m.encode()) for m in unknown], num_threads=1)
+            ends = np.cumsum([4 * len(ids) for ids in lists]).tolist()
+            flat = np.fromiter(itertools.chain.from_iterable(lists), "<i4", ends[-1] // 4)
+            raw, begin = flat.tobytes(), 0
+            for match, end in zip(unknown, ends, strict=True):
+                found[match] = raw[begin:end]
+                begin = end
+        return [b"".join([found[match] for match in own]) for own in split]
 
     def encode(self, text: str) -> bytes:
-        """Ids of a whole text as little-endian 32-bit numbers.
+        """Ids of a whole text as little-endian 32-bit numbers."""
+        return self.encode_texts([text])[0]
+
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of some whole texts.
 
         Words with their leading space are looked up at once where no match of
         the pattern can span two of them; other texts go through as one unit.
         """
-        if _CROSSING.search(text):
-            return self._encode_unit(text)
-        first, *rest = text.split(" ")
+        split = []
+        for text in texts:
+            if _CROSSING.search(text):
+                split.append([text])
+            else:
+                first, *rest = text.split(" ")
+                split.append([first, *[" " + word for word in rest]])
         units = self.units
-        return units[first] + b"".join([units[" " + word] for word in rest])
+        new = [u for u in units.lacks(set().union(*split)) if len(u) <= units.longest]
+        for unit, ids in zip(new, self._encode_units(new), strict=True):
+            units.put(unit, ids)
+        get = units.__getitem__
+        return [b"".join(map(get, own)) for own in split]
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.pieces.__getitem__, ids.tolist()))
@@ -136,7 +159,7 @@ class ByteBpe:
 
 @functools.lru_cache(maxsize=2)
 def codec(content: bytes, pattern: str) -> ByteBpe:
-    """The codec of a rank file's content; a worker builds it once."""
+    """The codec of a rank file's content; a worker builds it once, tasks empty its memo."""
     return ByteBpe(read_ranks(content), pattern)
 
 
@@ -161,16 +184,19 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = codec(content.value, pattern)
-        for batch in slices(batches, 256):
+        try:
             # Ids take about as much room as the text, seldom up to four times of it.
-            done, parts, size = 0, [], 0
-            for at, value in enumerate(raw_texts(batch[text])):
-                parts.append(bpe.encode(value.decode("utf-8", "replace")))
-                size += len(parts[-1])
-                if size > BYTES or at + 1 == batch.num_rows:
-                    rows = batch.slice(done, at + 1 - done)
-                    yield pa.record_batch([*(rows[c] for c in kept), id_lists(parts)], [*kept, ids])
-                    done, parts, size = at + 1, [], 0
+            for batch in slices(batches, 256):
+                values = [v.decode("utf-8", "replace") for v in raw_texts(batch[text])]
+                parts = bpe.encode_texts(values)
+                sizes = np.cumsum([len(p) for p in parts])
+                # As many texts as reach ``BYTES`` of ids go on together.
+                groups = np.append(0, np.flatnonzero(np.diff((sizes - 1) // BYTES)) + 1).tolist()
+                for a, b in zip(groups, [*groups[1:], batch.num_rows], strict=True):
+                    columns = [batch[c].slice(a, b - a) for c in kept]
+                    yield pa.record_batch([*columns, id_lists(parts[a:b])], [*kept, ids])
+        finally:
+            bpe.units.forget()
 
     fields = [df.schema[c] for c in kept]
     schema = T.StructType([*fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])

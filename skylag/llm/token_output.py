@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .batches import slices, texts
-from .bpe import codec
+from .bpe import ByteBpe, codec
 from .tokens import cut
 
 # Text of a task, so that its last sequences are few among all of its own.
@@ -152,8 +152,7 @@ def packed_matrices(
         ]
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = codec(content.value, pattern)
+    def rows_of(encoder: ByteBpe, batches) -> Iterator[pa.RecordBatch]:
         given = TaskContext.get().partitionId() << 32
         waiting: list[Piece] = []
         held = 0
@@ -180,8 +179,9 @@ def packed_matrices(
 
         for batch in slices(batches, 128):
             key_type = batch[key].type
-            for document, value in zip(batch[key].to_pylist(), texts(batch[text]), strict=True):
-                ids = encoder.encode(value) + end
+            encoded = encoder.encode_texts(texts(batch[text]))
+            for document, ids in zip(batch[key].to_pylist(), encoded, strict=True):
+                ids += end
                 for start, length in cut(len(ids) // 4, capacity):
                     waiting.append((document, start, ids[4 * start : 4 * (start + length)]))
                 held += len(ids) // 4
@@ -190,6 +190,13 @@ def packed_matrices(
         if waiting:
             yield from packed(last=True)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = codec(content.value, pattern)
+        try:
+            yield from rows_of(encoder, batches)
+        finally:
+            encoder.units.forget()
+
     rows = df.select(key, text)
     total = rows.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     return rows.repartition(max(1, -(-total // TASK_BYTES))).mapInArrow(run, schema)
