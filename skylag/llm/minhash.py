@@ -24,8 +24,10 @@ left out and no bucket meets in one task.
 
 Defined results: NULL and empty texts have no shingles, link with nothing and are
 kept; of equal sets the smallest key represents all; equal rows get one result each;
-a row with a NULL key links with nothing; an empty table gives an empty table. Keys
-are to tell texts apart: of different texts under one key, one speaks for all. Only the key and text columns are read.
+a row with a NULL key links with nothing; an empty table gives an empty table. Rows with
+different texts under one key are documents of their own: links go by sets, and keys
+only name the groups, so a key may come up in several. Keys may be of any type that has
+an order. Only the key and text columns are read.
 """
 
 from __future__ import annotations
@@ -116,20 +118,21 @@ def band_keys(signatures: np.ndarray, rows: int) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def signatures(df: DataFrame, key: str, text: str, words: int, bands: int, rows: int) -> DataFrame:
-    """doc, n_shingles, a digest of the set, and the band keys of each document."""
+def signatures(df: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
+    """Key, version, n_shingles, a digest of the set, and the band keys of each document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 256):
             with np.errstate(over="ignore"):
-                sets = [shingle_set(value, words) for value in raw_texts(batch[text])]
+                sets = [shingle_set(value, words) for value in raw_texts(batch["text"])]
             full = [s for s in sets if len(s)]
             keys = None
             if full:
                 keys = iter(band_keys(super_minhash(full, bands * rows), rows))
             yield pa.record_batch(
                 [
-                    batch[key].cast(pa.int64()),
+                    batch["name"],
+                    batch["version"],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(
                         [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
@@ -139,11 +142,12 @@ def signatures(df: DataFrame, key: str, text: str, words: int, bands: int, rows:
                         [next(keys) if len(s) else None for s in sets], pa.list_(pa.int64())
                     ),
                 ],
-                ["doc", "n_shingles", "set_key", "bands"],
+                ["name", "version", "n_shingles", "set_key", "bands"],
             )
 
-    schema = "doc long, n_shingles long, set_key binary, bands array<long>"
-    return df.select(key, text).mapInArrow(run, schema)
+    kind = df.schema["name"].dataType.simpleString()
+    schema = f"name {kind}, version long, n_shingles long, set_key binary, bands array<long>"
+    return df.select("name", "version", "text").mapInArrow(run, schema)
 
 
 def similar(one: np.ndarray, other: np.ndarray, percent: int) -> bool:
@@ -285,21 +289,26 @@ def near_duplicates(
     union. At that share exactly, the default bands miss seven links in a million.
     ``component_id`` is the smallest key reachable over links; it is kept.
     """
-    whole = df.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    signed = materialize(signatures(whole, "doc", "text", words, bands, rows), "signatures")
-    present = signed.filter("set_key IS NOT NULL AND doc IS NOT NULL")
+    whole = df.select(
+        F.col(key).alias("name"), F.col(text).alias("text"), F.xxhash64(text).alias("version")
+    )
+    signed = materialize(signatures(whole, words, bands, rows), "signatures")
+    present = signed.filter("set_key IS NOT NULL AND name IS NOT NULL")
     classes = present.groupBy("set_key").agg(
-        F.min(F.struct("doc", "n_shingles", "bands")).alias("first")
+        F.min(F.struct("name", "version", "n_shingles", "bands")).alias("first")
     )
-    classes = materialize(classes.select("set_key", "first.*"), "classes")
+    # Each set has a number, its node in what follows; it is settled by being written.
+    classes = classes.select("set_key", "first.*", F.monotonically_increasing_id().alias("doc"))
+    classes = materialize(classes, "classes")
     banded = classes.select(
         "doc", F.col("n_shingles").alias("n"), F.posexplode("bands").alias("band", "value")
     )
     shared = banded.groupBy("value").agg(F.count("*").alias("size"))
     shared = materialize(shared.filter("size > 1").select("value"), "buckets")
     members = materialize(banded.join(shared, "value"), "members")
-    wanted = members.select("doc").distinct()
-    texts = whole.join(wanted, "doc", "left_semi").dropDuplicates(["doc"])
+    wanted = classes.join(members.select("doc").distinct(), "doc", "left_semi")
+    wanted = wanted.select("doc", "name", "version")
+    texts = whole.join(wanted, ["name", "version"]).dropDuplicates(["doc"]).select("doc", "text")
     texts = materialize(texts, "texts")
 
     links, groups = None, members.select("doc").distinct().withColumn("component", F.col("doc"))
@@ -341,17 +350,18 @@ def near_duplicates(
             .select("doc", F.coalesce("component", "doc").alias("component")),
             "groups",
         )
-    named = classes.select("set_key", F.col("doc").alias("first")).join(
-        groups.withColumnRenamed("doc", "first"), "first", "left"
-    )
-    named = named.select("set_key", F.coalesce("component", "first").alias("component_id"))
+    # A group bears the smallest key of its sets.
+    least = groups.join(classes.select("doc", "name"), "doc").groupBy("component")
+    least = materialize(least.agg(F.min("name").alias("component_id")), "least")
+    of_group = groups.join(least, "component").select("doc", "component_id")
+    named = classes.select("set_key", "doc", "name").join(of_group, "doc", "left")
+    named = named.select("set_key", F.coalesce("component_id", "name").alias("component_id"))
     named = materialize(named, "named")
     out = signed.join(named, "set_key", "left")
-    component = F.when(F.col("doc").isNotNull(), F.coalesce("component_id", "doc"))
+    component = F.when(F.col("name").isNotNull(), F.coalesce("component_id", "name"))
     return out.select(
-        F.col("doc").alias(key),
+        F.col("name").alias(key),
         "n_shingles",
         component.alias("component_id"),
-        F.coalesce(F.col("doc") == component, F.lit(True)).alias("kept"),
+        F.coalesce(F.col("name") == component, F.lit(True)).alias("kept"),
     )
-

@@ -98,6 +98,20 @@ def test_null_keys_repeated_rows_and_an_empty_table(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_texts_under_one_key_keep_their_own_links(spark):
+    near = [" ".join(f"w{i}" for i in range(80)) + end for end in ("", " x", " x y")]
+    rows = [(1, "quite another text"), (1, near[0]), (2, near[1]), (3, near[2]), (4, "apart"), (2, "apart")]
+    for order in (rows, rows[::-1], [*rows[3:], *rows[:3], rows[0]]):
+        df = spark.createDataFrame(order, "doc_id long, text string").coalesce(1)
+        check(minhash.near_duplicates(df, words=2).collect(), order)
+
+
+def test_keys_of_text(spark):
+    rows = [("b", "a b c d"), ("a", "a b c d"), ("c", "d e f g"), ("é", "D E F G")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    check(minhash.near_duplicates(df, words=2).collect(), rows)
+
+
 def test_signatures_estimate_similarity():
     rng = np.random.default_rng(0)
     pool = rng.integers(0, 2**63, 3000).astype(np.uint64)
