@@ -8,7 +8,9 @@ the least room that still takes it; a segment tree over the possible room finds
 sequence in steps that grow with the logarithm of the capacity. Well-filled
 sequences are passed on; the others' pieces wait for the next group, the emptiest
 first, so that mostly the last sequences of a task stay less full. Texts are shuffled
-once, and a task's memory is bounded by a group and one document.
+once, and a task's memory is bounded by a group and one document. Ids are those of the
+tiktoken library, which encodes all texts but those with a run of white space so long
+that its search for the pattern could overflow; these go through ``bpe``, to the same ids.
 
 A row is one line of the id matrix: ``ids``, always ``capacity`` little-endian
 unsigned 32-bit numbers padded with ``pad_id``; ``segment_ends``, the cumulative
@@ -24,17 +26,20 @@ gives the same rows.
 
 from __future__ import annotations
 
+import functools
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .batches import slices, texts
-from .bpe import ByteBpe, codec
+from .bpe import codec, read_ranks
 from .tokens import cut
 
 # Text of a task, so that its last sequences are few among all of its own.
@@ -44,6 +49,27 @@ GROUP_TOKENS = 3_000_000
 WAITING_TOKENS = 500_000
 # Sequences with less room than one part of this many are passed on at once.
 _FILLED = 64
+# White space on which the library's search for the pattern may run out of stack.
+_LONG_SPACE = re.compile(r"\s{1000}")
+
+
+@functools.lru_cache(maxsize=2)
+def _library(content: bytes, pattern: str) -> tiktoken.Encoding:
+    """The library's encoding of a rank file's content; a worker builds it once."""
+    return tiktoken.Encoding(
+        "ranks", pat_str=pattern, mergeable_ranks=read_ranks(content), special_tokens={}
+    )
+
+
+def text_ids(content: bytes, pattern: str, text: str) -> bytes:
+    """Ids of a whole text as little-endian 32-bit numbers."""
+    if _LONG_SPACE.search(text):
+        encoder = codec(content, pattern)
+        try:
+            return encoder.encode(text)
+        finally:
+            encoder.units.forget()
+    return np.asarray(_library(content, pattern).encode_ordinary(text), "<u4").tobytes()
 
 
 class RoomTree:
@@ -152,7 +178,7 @@ def packed_matrices(
         ]
     )
 
-    def rows_of(encoder: ByteBpe, batches) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = TaskContext.get().partitionId() << 32
         waiting: list[Piece] = []
         held = 0
@@ -179,9 +205,9 @@ def packed_matrices(
 
         for batch in slices(batches, 128):
             key_type = batch[key].type
-            encoded = encoder.encode_texts(texts(batch[text]))
-            for document, ids in zip(batch[key].to_pylist(), encoded, strict=True):
-                ids += end
+            rows = zip(batch[key].to_pylist(), texts(batch[text]), strict=True)
+            for document, whole in rows:
+                ids = text_ids(content.value, pattern, whole) + end
                 for start, length in cut(len(ids) // 4, capacity):
                     waiting.append((document, start, ids[4 * start : 4 * (start + length)]))
                 held += len(ids) // 4
@@ -190,13 +216,6 @@ def packed_matrices(
         if waiting:
             yield from packed(last=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = codec(content.value, pattern)
-        try:
-            yield from rows_of(encoder, batches)
-        finally:
-            encoder.units.forget()
-
     rows = df.select(key, text)
     total = rows.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
     return rows.repartition(max(1, -(-total // TASK_BYTES))).mapInArrow(run, schema)

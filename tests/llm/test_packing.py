@@ -186,6 +186,27 @@ def test_matrices_of_odd_texts(spark, tmp_path):
     assert spark.read.parquet(f"{folder}/out").count() == df.count()
 
 
+def test_matrices_of_long_white_space_and_null_keys(spark, tmp_path):
+    texts = ["a" + " " * 300_000 + "b", "\n" * 2000 + "x", " \n\t" * 700, "é" * 50_000, "no" + " " * 999 + "so"]
+    folder = saved(spark, tmp_path, documents(texts), DOCUMENTS)
+    ranks = Path(public_tokenizers.path("byte_bpe_50k.tiktoken")).read_bytes()
+    df = QUERIES["op10_token_matrices"](spark, folder)
+    found = defaultdict(dict)
+    for p in token_output.unpacked(df).collect():
+        found[p.doc][p.start] = bytes(p.ids)
+    pieces = read_ranks(ranks)
+    words = {rank: piece for piece, rank in pieces.items()}
+    for doc, text in enumerate(texts):
+        ids = np.frombuffer(b"".join(found[doc][at] for at in sorted(found[doc])), "<u4")
+        assert b"".join(words[i] for i in ids[:-1].tolist()) == text.encode() and ids[-1] == 50256
+    rows = spark.createDataFrame([(None, "one two"), (None, None), (1, "one two")], "doc_id long, text string")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    out = token_output.packed_matrices(rows, path, public_tokenizers.PATTERN, 50256, 64, 50256)
+    assert sorted((str(p.doc), len(p.ids)) for p in token_output.unpacked(out).collect()) == [
+        ("1", 12), ("None", 4), ("None", 12),
+    ]
+
+
 def test_matrices_of_an_empty_table(spark, tmp_path):
     df = QUERIES["op10_token_matrices"](spark, saved(spark, tmp_path, [], DOCUMENTS))
     assert df.count() == 0
