@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,9 @@ AIRPORTS_CSV = T.StructType(
     ]
 )
 
+# Paths of the cuts written inside the innermost scope, if there is one.
+_CUTS: ContextVar[list[str] | None] = ContextVar("cuts", default=None)
+
 # Sides below this many narrow rows (some 20 MB) may be sent to every executor.
 BROADCAST_ROWS = 200_000
 
@@ -103,14 +108,38 @@ def write_parquet(
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+@contextmanager
+def owned_cuts(spark: SparkSession) -> Iterator[None]:
+    """A scope that deletes the cuts written inside it when it ends, also after a failure.
+
+    What is made of these cuts must be written or collected before the end. Cuts of a
+    scope inside go with that one; those written outside of any scope stay, as do all
+    tables that the caller writes.
+    """
+    own: list[str] = []
+    token = _CUTS.set(own)
+    try:
+        yield
+    finally:
+        _CUTS.reset(token)
+        configuration = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in own:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(configuration).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write a table to the shared folder and read it back, to cut the plan there.
 
     Later steps then read files, also after executors were lost. The schema is
-    known, so reading starts no job.
+    known, so reading starts no job. The table stays until the scope of ``owned_cuts``
+    around the call ends; without one, clearing the folder is the caller's business.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    own = _CUTS.get()
+    if own is not None:
+        own.append(path)
     write_parquet(df, path, partition_by)
     return spark.read.schema(df.schema).parquet(path)
 
