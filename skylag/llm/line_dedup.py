@@ -1,172 +1,293 @@
-"""Remove passages that were seen before, by winnowing over line hashes.
-
-A text is a row of lines; lines without words are left out of account, and go only with
-a removed run around them. A
-line is a repeat if it lies in a run of consecutive lines, of at least ``min_words``
-words together, that also stands at an earlier place: in a smaller document, or
-higher up in the same one. Every repeat goes; what stands first stays.
-
-A window is a shortest run of ``min_words`` words from a line downward, or from a
-line upward. Every line of a repeated run lies in a window that repeats as well:
-the run can be shortened from its ends to a window that holds the line. So repeats
-are found in three steps, all with plain DataFrame functions:
-
-1. Winnowing: each window selects its least line hash as its fingerprint. Windows
-   with the same lines select the same one, so a repeated run is guaranteed to show
-   as a repeated fingerprint. Only positions with repeated fingerprints go on.
-2. Joined positions are extended both ways over the lines of their windows, downward
-   and upward, and compared by a 128-bit digest of all these lines.
-3. Of equal windows the first stays; the lines of all others are deleted as one run
-   where they touch.
-
-A window has no more than ``min_words`` lines, so nothing grows with a document
-but its own row of lines. Fingerprints and windows are aggregated before they meet,
-and their joins are between written tables, so hot ones are split.
-
-Defined results: documents are ordered by key, and rows alike in key and text count
-as one, whose result all of them get. A NULL key comes first. NULL texts stay NULL.
-Lines are compared without the white space around them; the words of a line are its
-single spaces and one. Other columns stay, ``n_removed`` is added and replaces one of
-that name. Empty tables give empty tables.
+"""Remove passages that were seen before, by winnowing over the parts of lines.
+
+A text is a row of words, whatever white space or line ends stand between them. A word
+goes if it lies in a run of ``min_words`` words that also stands at an earlier place: in
+a smaller document, or higher up in the same one without lapping over into the run. What
+stands first stays. A repeated run of any greater length is made of such runs, one for
+each word by which it is longer, so it goes as a whole, from its first word to its last,
+also where it begins and ends inside lines; shorter ones stay.
+
+1. Texts that are alike are one; their later documents repeat it from end to end.
+2. Winnowing: lines are cut behind words that end in one of ``MARKS``, and what is longer
+   into chunks. Some chunks in a row make a gram, whose hash counts; of each two grams in
+   a row the lesser hash is the fingerprint. Stretches of half a run without a mark select
+   fingerprints out of the hashes of their short rows of words besides.
+   With ``long`` half a run, either the first ``long`` words of a run have no mark inside,
+   and the second kind is sure to lie in it, or two grams in a row end before the run does.
+   Both depend on the run's own words only, so wherever it stands again they stand too.
+3. Joined positions: only fingerprints that come up at two places go on, as ranges of
+   places at which a run that holds the fingerprint may begin.
+4. Matches are extended both ways: the runs of these ranges, from the one that ends in
+   the fingerprint to the one that begins with it, are compared by a 128-bit digest of all
+   their words. Of equal ones the first stays, and the others go as one where they touch.
+
+All steps are plain DataFrame functions. Fingerprints and digests are aggregated before
+they meet, and their joins are between written tables, so hot ones are split. Runs are
+written only around repeated fingerprints.
+
+Defined results: documents are ordered by key, and rows alike in key and text count as
+one, whose result all of them get. A NULL key comes first. NULL texts stay NULL. The white
+space after a removed word goes with it; where a removed run held a line end, what stays
+around it is still in two lines. Other columns stay, ``n_removed`` (words) is added and
+replaces one of that name. Empty tables give empty tables.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import materialize
 
+# A word that ends in one of these ends a part of a line.
+MARKS = ".,;:!?"
+_WHITE = " \t\n\r\f\u000b"
 
-def _words(line: Column) -> Column:
-    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
-    return F.when(line == "", 0).otherwise(spaces + 1).cast("long")
 
+def _pieces(text: Column) -> Column:
+    """Words with the white space after them; that before the first word is a piece of its own."""
+    return F.split(text, r"(?<=\s)(?=\S)")
 
-def _lines(df: DataFrame, key: str, text: str) -> DataFrame:
-    """doc, version, at, hash, words: one row for each line with words."""
-    whole = df.filter(F.col(text).isNotNull()).select(
-        F.col(key).alias("doc"),
-        F.xxhash64(text).alias("version"),
-        F.posexplode(F.split(text, "\n")).alias("at", "line"),
-    )
-    line = F.trim(F.col("line"), F.lit(" \t\r\f\u000b"))
-    hashed = whole.select(
-        "doc", "version", "at", F.xxhash64(line).alias("hash"), _words(line).alias("words")
-    )
-    # Dealt by document once; neither the distinct lines nor the windows below deal anew.
-    dealt = hashed.filter("words > 0").repartition("doc", "version")
-    return dealt.dropDuplicates(["doc", "version", "at"])
-
-
-def _windows(lines: DataFrame, min_words: int) -> DataFrame:
-    """doc, version, from, to, print, content of every full window, downward and upward."""
-    document = Window.partitionBy("doc", "version")
-    before = document.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    placed = lines.withColumn("begin", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    placed = placed.withColumn("end", F.col("begin") + F.col("words"))
-    # Words before a line grow strictly, so a range of words is a range of lines.
-    down = document.orderBy("begin").rangeBetween(Window.currentRow, min_words - 1)
-    up = document.orderBy("end").rangeBetween(-(min_words - 1), Window.currentRow)
-    line = F.struct("hash", "at", "words")
-    placed = placed.withColumns(
-        {"down": F.collect_list(line).over(down), "up": F.collect_list(line).over(up)}
-    )
-    both = placed.select(
-        "doc", "version", F.explode(F.array("down", "up")).alias("lines")
-    ).filter(F.aggregate("lines", F.lit(0).cast("long"), lambda a, x: a + x["words"]) >= min_words)
-    hashes = F.col("lines.hash")
-    return both.select(
-        "doc",
-        "version",
-        F.array_min("lines.at").alias("from"),
-        F.array_max("lines.at").alias("to"),
-        F.array_min(hashes).alias("print"),
-        F.xxhash64(hashes).alias("one"),
-        F.xxhash64(F.lit("second"), hashes).alias("two"),
-    )
+
+def _words(text: Column) -> Column:
+    """The words; one empty word where there is none."""
+    return F.split(F.trim(text, F.lit(_WHITE)), r"\s+")
+
+
+def _bound(value: Column, make: Callable[[Column], Column]) -> Column:
+    """``make`` of a value that is worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), make), 0)
+
+
+def _numbers(first: Column | int, last: Column | int) -> Column:
+    """The whole numbers from first to last, none where last is smaller."""
+    first, last = (F.lit(x) if isinstance(x, int) else x for x in (first, last))
+    return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+
+def _fingerprint(h: Column, begin: Column, end: Column) -> Column:
+    return F.struct(h.alias("print"), begin.cast("int").alias("begin"), end.cast("int").alias("end"))
+
+
+def _grams(words: Column, chunks: Column, gram: int) -> Column:
+    """From each chunk, the shortest row of chunks with ``gram`` words; NULL where the text ends before."""
+
+    def one(j: Column) -> Column:
+        begin = F.get(chunks, j)
+        ends = F.filter(F.slice(chunks, j + 2, gram), lambda c: c >= begin + gram)
+        return _bound(
+            F.array_min(ends),
+            lambda end: F.when(
+                end.isNotNull(),
+                _fingerprint(F.xxhash64(F.slice(words, begin + 1, end - begin)), begin, end),
+            ),
+        )
+
+    return F.transform(_numbers(0, F.size(chunks) - 2), one)
+
+
+def _selected(grams: Column) -> Column:
+    """The grams that are the lesser of two in a row; of equal ones the first."""
+
+    def least(gram: Column, j: Column) -> Column:
+        after, before = F.get(grams, j + 1)["print"], F.get(grams, j - 1)["print"]
+        own = gram["print"]
+        return F.coalesce(own <= after, own.isNotNull()) | F.coalesce(own < before, F.lit(False))
+
+    return F.filter(grams, lambda gram, j: gram.isNotNull() & least(gram, j))
+
+
+def _unmarked(words: Column, parts: Column, long: int) -> Column:
+    """Fingerprints of all rows of ``long`` words without a mark between them."""
+    width = min(8, max(1, long // 3))
+
+    def of_part(part: Column) -> Column:
+        begin, end = part["begin"], part["end"]
+        rows = F.transform(
+            _numbers(begin, end - width),
+            lambda i: _fingerprint(F.xxhash64(F.slice(words, i + 1, width)), i, i + width),
+        )
+        chosen = lambda rows: F.transform(
+            _numbers(0, end - begin - long), lambda i: F.array_min(F.slice(rows, i + 1, long - width + 1))
+        )
+        changes = lambda chosen: F.filter(
+            chosen, lambda c, i: (i == 0) | (c["begin"] != F.get(chosen, i - 1)["begin"])
+        )
+        return _bound(_bound(rows, chosen), changes)
+
+    return F.flatten(F.transform(F.filter(parts, lambda p: p["end"] - p["begin"] >= long), of_part))
+
+
+def _fingerprints(text: Column, min_words: int) -> Column:
+    """print, begin, end of the fingerprints of a text; places are numbers of words."""
+    long = min_words // 2
+    chunk = max(1, (min_words - long) // 3)
+    gram = min_words - long - 2 * chunk + 1
+
+    def parts(words: Column) -> Column:
+        marked = F.transform(words, lambda w, i: F.when(F.right(w, F.lit(1)).isin(*MARKS), i + 1))
+        begins = F.filter(F.concat(F.array(F.lit(0)), marked), lambda b: b < F.size(words))
+        return _bound(
+            begins,
+            lambda begins: F.transform(
+                begins,
+                lambda b, k: F.struct(
+                    b.alias("begin"), F.coalesce(F.get(begins, k + 1), F.size(words)).alias("end")
+                ),
+            ),
+        )
+
+    def of_parts(words: Column, parts: Column) -> Column:
+        starts = F.flatten(
+            F.transform(parts, lambda p: F.sequence(p["begin"], p["end"] - 1, F.lit(chunk)))
+        )
+        chunks = F.concat(starts, F.array(F.size(words)))
+        chosen = _bound(_bound(chunks, lambda c: _grams(words, c, gram)), _selected)
+        return F.concat(chosen, _unmarked(words, parts, long))
+
+    return _bound(_words(text), lambda w: _bound(parts(w), lambda p: of_parts(w, p)))
 
 
 def repeated_runs(
     df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50
 ) -> DataFrame:
-    """doc, version (a digest of the text), and the runs of repeated lines: (from, to) arrays."""
-    found = materialize(_windows(_lines(df, key, text), min_words).distinct(), "windows")
-    prints = found.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
-    joined = found.join(materialize(prints, "prints"), "print")
-    place = F.struct("doc", "version", "from")
-    first = joined.groupBy("one", "two").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    """doc, one, two (digests of the text), and runs of repeated words: (from, to) arrays."""
+    if min_words < 3:
+        raise ValueError("passages have three words or more")
+    whole = df.select(F.col(key).alias("doc"), F.col(text).alias("text")).filter("text IS NOT NULL")
+    whole = whole.withColumns({"one": F.xxhash64("text"), "two": F.xxhash64(F.lit("second"), "text")})
+    copies = whole.select("doc", "one", "two").distinct()
+    owners = copies.groupBy("one", "two").agg(F.min(F.struct("doc")).alias("owner"))
+    texts = whole.select("one", "two", "text").dropDuplicates(["one", "two"])
+    texts = materialize(texts, "texts")
+
+    prints = texts.select("one", F.inline(_fingerprints(F.col("text"), min_words)))
+    # Texts with one digest would share ranges, which does no harm: their runs are compared.
+    prints = materialize(prints, "prints")
+    twice = prints.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
+    ranges = prints.join(materialize(twice, "twice"), "print").select(
+        "one",
+        F.greatest(F.col("end") - min_words, F.lit(0)).alias("from"),
+        F.col("begin").alias("to"),
+    )
+    ranges = ranges.groupBy("one").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
+    ranges = materialize(ranges, "ranges")
+
+    begins = F.array_distinct(F.flatten(F.transform("ranges", lambda r: F.sequence(r["from"], r["to"]))))
+    hashes = F.transform(_words(F.col("text")), lambda w: F.xxhash64(w))
+    found = texts.join(ranges, "one").select("one", "two", hashes.alias("h"), begins.alias("begins"))
+    found = found.select("one", "two", "h", F.explode("begins").alias("from"))
+    found = found.filter(F.col("from") <= F.size("h") - min_words)
+    run = F.slice("h", F.col("from") + 1, min_words)
+    found = found.select(
+        "one", "two", "from", F.xxhash64(run).alias("a"), F.xxhash64(F.lit("second"), run).alias("b")
+    )
+    found = materialize(found.join(owners, ["one", "two"]), "runs")
+    place = F.struct("owner", "one", "two", "from")
+    first = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     first = materialize(first.filter("first != last").drop("last"), "first")
-    later = found.join(first, ["one", "two"]).filter(place > F.col("first"))
-    # Runs that overlap or touch become one.
-    document = Window.partitionBy("doc", "version")
-    upward = document.orderBy("from", "to").rowsBetween(Window.unboundedPreceding, -1)
-    later = later.select("doc", "version", "from", "to").distinct()
-    begins = F.coalesce(F.col("from") > F.max("to").over(upward) + 1, F.lit(True))
-    later = later.withColumn("begins", begins.cast("int"))
-    later = later.withColumn("run", F.sum("begins").over(document.orderBy("from", "to")))
-    runs = later.groupBy("doc", "version", "run").agg(
-        F.min("from").alias("from"), F.max("to").alias("to")
+    own = (F.col("one") == F.col("first.one")) & (F.col("two") == F.col("first.two"))
+    later = found.join(first, ["a", "b"]).filter(
+        (place > F.col("first")) & (~own | (F.col("from") >= F.col("first.from") + min_words))
     )
-    return runs.groupBy("doc", "version").agg(
+    # Runs that overlap or touch become one.
+    later = later.select("one", "two", "from", (F.col("from") + min_words - 1).alias("to"))
+    upward = Window.partitionBy("one", "two").orderBy("from")
+    starts = F.coalesce(F.col("from") > F.lag("to").over(upward) + 1, F.lit(True))
+    later = later.withColumn("starts", starts.cast("int"))
+    later = later.withColumn("run", F.sum("starts").over(upward))
+    runs = later.groupBy("one", "two", "run").agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    runs = runs.groupBy("one", "two").agg(
         F.sort_array(F.collect_list(F.struct("from", "to"))).alias("runs")
     )
+    # Later documents of a text repeat all of it.
+    sized = texts.select("one", "two", F.size(_words(F.col("text"))).alias("n"))
+    owned = owners.join(sized.filter(F.col("n") >= min_words), ["one", "two"])
+    owned = owned.join(runs, ["one", "two"], "left")
+    every = F.array(F.struct(F.lit(0).alias("from"), (F.col("n") - 1).alias("to")))
+    of_copies = copies.join(owned, ["one", "two"])
+    is_owner = F.col("doc").eqNullSafe(F.col("owner.doc"))
+    of_copies = of_copies.withColumn("runs", F.when(is_owner, F.col("runs")).otherwise(every))
+    return of_copies.select("doc", "one", "two", "runs").filter("runs IS NOT NULL")
 
 
 def without_repeats(
     df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50
 ) -> DataFrame:
-    """The rows with repeated lines taken out of the text, and ``n_removed``, how many."""
+    """The rows with repeated passages taken out of the text, and ``n_removed``, how many words."""
     kept = [c for c in df.columns if c.lower() != "n_removed"]
     runs = repeated_runs(df, key, text, min_words).select(
-        F.col("doc").alias("__doc"), F.col("version").alias("__version"), "runs"
-    )
-    runs = runs.withColumnRenamed("runs", "__runs")
-    rows = df.select(*kept, F.xxhash64(text).alias("__own"))
-    rows = rows.join(
-        runs, F.col(key).eqNullSafe(F.col("__doc")) & (F.col("__own") == F.col("__version")), "left"
+        *[F.col(name).alias(f"__{name}") for name in ("doc", "one", "two", "runs")]
     )
-    lines = F.split(F.col(text), "\n")
-    # What stays lies between the runs: after the end before, up to the next begin.
-    count = F.size(lines)
-    ends = F.concat(F.array(F.lit(-1)), F.col("__runs.to"))
-    begins = F.concat(F.col("__runs.from"), F.array(count))
-    gaps = F.arrays_zip(ends.alias("e"), begins.alias("b"))
-    stays = F.flatten(
-        F.transform(gaps, lambda g: F.slice(lines, g["e"] + 2, g["b"] - g["e"] - 1))
-    )
-    removed = F.aggregate(
-        "__runs", F.lit(0).cast("long"), lambda a, r: a + r["to"] - r["from"] + 1
+    rows = df.select(
+        *kept, F.xxhash64(text).alias("__v"), F.xxhash64(F.lit("second"), text).alias("__w")
     )
+    same = (F.col("__one") == F.col("__v")) & (F.col("__two") == F.col("__w"))
+    rows = rows.join(runs, F.col(key).eqNullSafe(F.col("__doc")) & same, "left")
     has = F.col("__runs").isNotNull()
-    new_text = F.when(has, F.array_join(stays, "\n")).otherwise(F.col(text)).alias(text)
+    new_text = F.when(
+        has, _bound(_pieces(F.col(text)), lambda pieces: _rest(F.col(text), pieces, F.col("__runs")))
+    ).otherwise(F.col(text))
+    removed = F.aggregate("__runs", F.lit(0).cast("long"), lambda a, r: a + r["to"] - r["from"] + 1)
     return rows.select(
-        *(new_text if c == text else c for c in kept),
+        *(new_text.alias(text) if c == text else c for c in kept),
         F.coalesce(removed, F.lit(0).cast("long")).alias("n_removed"),
     )
 
 
+def _rest(text: Column, pieces: Column, runs: Column) -> Column:
+    """What stays between the runs; a line end inside a run still parts what stands around it."""
+    # White space before the first word is a piece ahead of the words.
+    ahead = F.when(text.rlike(r"^\s"), 1).otherwise(0)
+    part = lambda start, size: F.array_join(F.slice(pieces, start, size), "")
+    ends = F.concat(F.array(F.lit(-1) - ahead), runs["to"])
+    begins = F.concat(runs["from"], F.array(F.size(pieces) - ahead))
+    gone_to = F.concat(runs["to"], F.array(F.lit(-1)))
+    gaps = F.arrays_zip(ends.alias("e"), begins.alias("b"), gone_to.alias("t"))
+
+    def stays(g: Column) -> Column:
+        own = part(g["e"] + 2 + ahead, g["b"] - g["e"] - 1)
+        gone = part(g["b"] + 1 + ahead, F.greatest(g["t"] - g["b"] + 1, F.lit(0)))
+        cut = F.contains(gone, F.lit("\n")) & (own != "") & ~F.endswith(own, F.lit("\n"))
+        return F.concat(own, F.when(cut, "\n").otherwise(""))
+
+    return F.array_join(F.transform(gaps, stays), "")
+
+
 def oracle(min_words: int = 50) -> str:
-    """The same for DuckDB, by comparing the lines of all windows themselves."""
+    """The same for DuckDB, by comparing the words of all runs themselves."""
+    white = "' ' || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
+    space = r"[ \t\n\r\f\v]"
+    word = r"[^ \t\n\r\f\v]"
     return f"""
-WITH whole AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
-raw AS (SELECT doc_id, text, unnest(generate_series(0, len(ls) - 1)) AS pos, unnest(ls) AS rawline FROM whole),
-lined AS (SELECT doc_id, text, pos, trim(rawline, ' ' || chr(9) || chr(13) || chr(12) || chr(11)) AS line FROM raw),
-counted AS (SELECT *, 1 + len(line) - len(replace(line, ' ', '')) AS words FROM lined WHERE line <> ''),
-summed AS (SELECT *, sum(words) OVER (PARTITION BY doc_id, text ORDER BY pos) AS e FROM counted),
-placed AS (SELECT *, e - words AS b FROM summed),
-wins AS (
-  SELECT doc_id, text, list(line) OVER w AS content, list(pos) OVER w AS places, sum(words) OVER w AS total FROM placed
-    WINDOW w AS (PARTITION BY doc_id, text ORDER BY b RANGE BETWEEN CURRENT ROW AND {min_words - 1} FOLLOWING)
-  UNION ALL
-  SELECT doc_id, text, list(line) OVER w, list(pos) OVER w, sum(words) OVER w FROM placed
-    WINDOW w AS (PARTITION BY doc_id, text ORDER BY e RANGE BETWEEN {min_words - 1} PRECEDING AND CURRENT ROW)),
-marked AS (SELECT *, min((doc_id, places[1])) OVER (PARTITION BY content) AS first FROM wins WHERE total >= {min_words}),
-spans AS (SELECT DISTINCT doc_id, text, places[1] AS f, places[-1] AS t FROM marked WHERE (doc_id, places[1]) > first),
-gone AS (SELECT DISTINCT doc_id, text, unnest(generate_series(f, t)) AS pos FROM spans),
-rest AS (SELECT r.doc_id, r.text, count(g.pos) AS n_removed,
-    coalesce(string_agg(CASE WHEN g.pos IS NULL THEN r.rawline END, chr(10) ORDER BY r.pos), '') AS new_text
-  FROM raw r LEFT JOIN gone g ON r.doc_id = g.doc_id AND r.text = g.text AND r.pos = g.pos GROUP BY r.doc_id, r.text)
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE rest.new_text END AS text,
-  CAST(coalesce(rest.n_removed, 0) AS BIGINT) AS n_removed
-FROM documents d LEFT JOIN rest ON d.doc_id = rest.doc_id AND d.text = rest.text"""  # noqa: E501
+WITH whole AS (SELECT DISTINCT doc_id, text FROM documents WHERE text IS NOT NULL),
+numbered AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, text) AS place, * FROM whole),
+split AS (SELECT place, regexp_extract_all(text, '{word}+{space}*') AS ps,
+    regexp_extract(text, '^{space}*') AS ahead FROM numbered),
+pieces AS (SELECT place, unnest(ps) AS piece, generate_subscripts(ps, 1) AS i FROM split),
+coded AS (SELECT *, dense_rank() OVER (ORDER BY rtrim(piece, {white})) AS word FROM pieces),
+runs AS (SELECT place, i, list(word) OVER (PARTITION BY place ORDER BY i
+    ROWS BETWEEN CURRENT ROW AND {min_words - 1} FOLLOWING) AS content FROM coded),
+marked AS (SELECT place, i, min((place, i)) OVER (PARTITION BY content) AS first
+    FROM runs WHERE len(content) = {min_words}),
+later AS (SELECT place, i FROM marked
+    WHERE place > first[1] OR (place = first[1] AND i >= first[2] + {min_words})),
+gone AS (SELECT DISTINCT place, unnest(generate_series(i, i + {min_words - 1})) AS i FROM later),
+flagged AS (SELECT p.place, p.i, p.piece, g.i IS NOT NULL AS cut
+  FROM pieces p LEFT JOIN gone g ON p.place = g.place AND p.i = g.i),
+begun AS (SELECT *, cut AND NOT lag(cut, 1, false) OVER w AS head, lag(piece) OVER w AS before,
+  p_lines FROM (SELECT *, contains(piece, chr(10)) AS p_lines FROM flagged) WINDOW w AS (PARTITION BY place ORDER BY i)),
+runned AS (SELECT *, sum(CASE WHEN head THEN 1 ELSE 0 END) OVER (PARTITION BY place ORDER BY i) AS run FROM begun),
+spread AS (SELECT *, bool_or(p_lines AND cut) OVER (PARTITION BY place, run) AS lines FROM runned),
+emitted AS (SELECT s.place, s.i, s.cut, CASE WHEN NOT s.cut THEN s.piece
+    WHEN s.head AND s.lines AND coalesce(s.before, split.ahead) <> ''
+      AND NOT ends_with(coalesce(s.before, split.ahead), chr(10)) THEN chr(10) ELSE '' END AS part
+  FROM spread s JOIN split ON s.place = split.place),
+rest AS (SELECT place, string_agg(part, '' ORDER BY i) AS rest, count(*) FILTER (cut) AS n FROM emitted GROUP BY place)
+SELECT d.doc_id, CASE WHEN coalesce(rest.n, 0) = 0 THEN d.text ELSE split.ahead || rest.rest END AS text,
+  CAST(coalesce(rest.n, 0) AS BIGINT) AS n_removed
+FROM documents d
+LEFT JOIN numbered ON d.doc_id IS NOT DISTINCT FROM numbered.doc_id AND d.text = numbered.text
+LEFT JOIN split ON numbered.place = split.place LEFT JOIN rest ON numbered.place = rest.place"""  # noqa: E501

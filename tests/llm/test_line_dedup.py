@@ -1,4 +1,6 @@
+import itertools
 import random
+import re
 import sys
 from pathlib import Path
 
@@ -6,47 +8,37 @@ import duckdb
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
-from llm_cases import DOCUMENTS, documents, saved  # noqa: E402
+from llm_cases import DOCUMENTS, documents, saved, table  # noqa: E402
 
 from skylag.llm import line_dedup  # noqa: E402
 from skylag.llm.queries import ORACLE, QUERIES  # noqa: E402
 
-WHITE = " \t\r\f\x0b"
+WHITE = " \t\n\r\f\v"
 
 
 def by_force(rows, least):
-    """Lines that lie in a run of ``least`` words or more which stands earlier as well."""
-    whole = sorted({(r[0], r[1]) for r in rows if r[1] is not None})
-    lined = []
-    for doc, text in whole:
-        lines = [
-            (at, line.strip(WHITE), line.strip(WHITE).count(" ") + 1)
-            for at, line in enumerate(text.split("\n"))
-            if line.strip(WHITE)
-        ]
-        lined.append((doc, text, lines))
-    seen, gone = set(), {}
-    runs = []
-    for doc, text, lines in lined:
-        for i in range(len(lines)):
-            total = 0
-            for j in range(i, len(lines)):
-                total += lines[j][2]
-                if total >= least:
-                    runs.append(((doc, text), i, j, tuple(x[1] for x in lines[i : j + 1]), lines))
-    for key, i, j, content, lines in sorted(runs, key=lambda r: (r[0], r[1], r[2])):
-        if content in seen:
-            gone.setdefault(key, set()).update(range(lines[i][0], lines[j][0] + 1))
-        seen.add(content)
-    out = []
-    for doc, text, *_ in rows:
-        dropped = gone.get((doc, text), set())
-        if text is None or not dropped:
-            out.append((doc, text, 0))
-        else:
-            kept = [x for at, x in enumerate(text.split("\n")) if at not in dropped]
-            out.append((doc, "\n".join(kept), len(dropped)))
-    return sorted(out, key=str)
+    """Each row's text without words of runs that stand earlier, and how many words go."""
+    order = sorted({(r[0], r[1]) for r in rows if r[1] is not None}, key=lambda r: (r[0] is not None, r))
+    seen, rest = {}, {}
+    for number, row in enumerate(order):
+        ahead, *pieces = re.split(f"(?<![^{WHITE}])(?=[^{WHITE}])", " " + row[1])
+        words, cut = [p.rstrip(WHITE) for p in pieces], set()
+        for i in range(len(words) - least + 1):
+            run = tuple(words[i : i + least])
+            place, at = seen.setdefault(run, (number, i))
+            if place < number or at + least <= i:
+                cut.update(range(i, i + least))
+        out, gone = ahead[1:], ""
+        for i, piece in enumerate(pieces):
+            if i in cut:
+                gone += piece
+            if gone and (i not in cut or i == len(pieces) - 1):
+                out += "\n" if "\n" in gone and out and not out.endswith("\n") else ""
+                gone = ""
+            if i not in cut:
+                out += piece
+        rest[row] = (out, len(cut))
+    return sorted(((r[0], *rest.get((r[0], r[1]), (None, 0))) for r in rows), key=str)
 
 
 def found(df):
@@ -61,14 +53,50 @@ def test_query_equals_sql(spark, sf_dir):
     assert sum(r[2] for r in got) > 0
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_random_lines_equal_brute_force(spark, seed):
+def test_query_equals_brute_force(spark, sf_dir):
+    rows = [r[:2] for r in table(sf_dir, "documents")]
+    assert found(QUERIES["op9_line_dedup"](spark, sf_dir)) == by_force(rows, 50)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_random_words_equal_brute_force(spark, seed):
     draw = random.Random(seed)
-    lines = ["a", "b c", "d e f", "g h i j k", "", " a ", "\t", "l m n o p q r"]
-    texts = ["\n".join(draw.choice(lines) for _ in range(draw.randint(0, 14))) for _ in range(40)]
-    rows = documents(texts)
+    bits = ["a", "b, c", "a b\nc d.", "\n", " e f g h ", "a b c d e f g h i j", "k\tl", "\x0bm", ". ", "e; f? g h"]
+    texts = [draw.choice(" \n").join(draw.choice(bits) for _ in range(draw.randint(0, 14))) for _ in range(30)]
+    rows = documents([None, "", *texts, texts[0]])
     df = spark.createDataFrame(rows, DOCUMENTS)
-    assert found(line_dedup.without_repeats(df, min_words=6)) == by_force(rows, 6)
+    for least in (3, 6, 12):
+        assert found(line_dedup.without_repeats(df, min_words=least)) == by_force(rows, least)
+
+
+def test_planted_runs_of_any_shape_go(spark):
+    """Runs of exactly 50 words, wherever their marks are, between words that differ; 49 stay."""
+    lined = lambda w, n: "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
+    texts = []
+    for mark, every in itertools.product(["", ".", ",", "!?"], [1, 3, 24, 25, 26, 49]):
+        name = len(texts)
+        passage = [f"{name}w{i}{mark if i % every == every - 1 else ''}" for i in range(50)]
+        for i in range(12):
+            before = [f"{name}x{i}y{k}" for k in range(3 * i)]
+            before[-1:] = [before[-1] + mark] if before and i % 2 else before[-1:]
+            texts.append(lined([*before, *passage, f"{name}z{i}", "end."], 4 + i))
+        texts.append("near " + " ".join(passage[1:]) + f" miss{name}")
+    rows = documents(texts)
+    got = found(line_dedup.without_repeats(spark.createDataFrame(rows, DOCUMENTS)))
+    assert got == by_force(rows, 50)
+    assert sorted(r[2] for r in got) == [0] * 48 + [50] * 264
+
+
+def test_a_passage_inside_lines_goes(spark):
+    passage = [f"w{i}" for i in range(55)]
+    lined = lambda w, n: "\n".join(" ".join(w[i : i + n]) for i in range(0, len(w), n))
+    texts = [
+        "top line\nbefore " + lined(passage, 9) + " after\nend",
+        "other " + lined(passage, 20) + " behind\nlast",
+        "short " + " ".join(passage[:49]) + " x",
+    ]
+    got = found(line_dedup.without_repeats(spark.createDataFrame(documents(texts), DOCUMENTS)))
+    assert got == [(0, texts[0], 0), (1, "other \nbehind\nlast", 55), (2, texts[2], 0)]
 
 
 def test_odd_texts(spark, tmp_path):
@@ -79,28 +107,24 @@ def test_odd_texts(spark, tmp_path):
     ]
     rows = documents(texts)
     got = found(QUERIES["op9_line_dedup"](spark, saved(spark, tmp_path, rows, DOCUMENTS)))
+    assert got == by_force(rows, 50)
     of = {r[0]: r for r in got}
-    assert [of[i][1] for i in (0, 1, 2)] == [None, "", "\n\n"]
-    assert of[3][1:] == (passage, 0)
-    assert of[4][1:] == ("own\nother", 1)
-    assert of[5][1:] == ("", 2)
-    assert of[6][2] == of[7][2] == 0
-    assert of[8][1] == "word" and of[8][2] == 2999
-    assert of[9][2] == 0 and of[10][1:] == ("more", 1)
+    assert of[4][1:] == ("own\nother", 51)
+    assert of[5][1:] == ("", 102)
+    assert of[8][2] == 2950
+    assert of[10][1] == "more"
 
 
 def test_repeated_rows_null_keys_clashing_columns_and_an_empty_table(spark):
-    schema = "doc_id long, text string, n_removed string, hash int, runs int"
-    rows = [(None, "a b c\nd", "x", 1, 1)] * 2 + [(1, "a b c\ne", "x", 1, 1)] * 2
+    schema = "doc_id long, text string, n_removed string, one int, runs int, owner int, begin int"
+    rows = [(None, "a b c\nd", "x", 1, 1, 1, 1)] * 2 + [(1, "a b c\ne", "x", 1, 1, 1, 1)] * 2
     df = spark.createDataFrame(rows, schema)
     out = line_dedup.without_repeats(df, min_words=3)
-    assert out.columns == ["doc_id", "text", "hash", "runs", "n_removed"]
-    assert found(out) == [(1, "e", 1), (1, "e", 1), (None, "a b c\nd", 0), (None, "a b c\nd", 0)]
+    assert out.columns == ["doc_id", "text", "one", "runs", "owner", "begin", "n_removed"]
+    assert found(out) == [(1, "e", 3), (1, "e", 3), (None, "a b c\nd", 0), (None, "a b c\nd", 0)]
     assert line_dedup.without_repeats(df.limit(0)).count() == 0
 
 
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = QUERIES["op9_line_dedup"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
-
-

@@ -5,7 +5,7 @@ import numpy as np
 
 sys.path.insert(0, str(Path(__file__).parent))
 from llm_cases import DOCUMENTS, saved, table  # noqa: E402
-from test_line_dedup import by_force as lines_by_force  # noqa: E402
+from test_line_dedup import by_force as passages_by_force  # noqa: E402
 from test_minhash import by_force as groups_by_force  # noqa: E402
 from test_packing import WORDS, placed  # noqa: E402
 
@@ -29,7 +29,7 @@ def check(spark, folder, rows):
     letters = [r for r in rows if any(c.isalpha() for c in r[1] or "")]
     assert sorted(kept, key=str) == sorted(letters, key=str)
     want = [
-        (d, text) for d, text, n in lines_by_force(kept, 50) if not n or text.strip()
+        (d, text) for d, text, n in passages_by_force(kept, 50) if not n or text.strip()
     ]
     got = [(r.doc_id, r.text) for r in second.collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
