@@ -9,20 +9,17 @@ also where it begins and ends inside lines; shorter ones stay.
 
 1. Texts that are alike are one; their later documents repeat it from end to end.
 2. Winnowing: lines are cut behind words that end in one of ``MARKS``, and what is longer
-   into chunks. From each chunk on, some chunks make a gram, whose hash counts; of the grams
-   that begin within a window of words the least is the fingerprint. Stretches of half a run
-   without a mark select fingerprints out of the hashes of their short rows of words besides.
+   into chunks. Some chunks in a row make a gram, whose hash counts; of each two grams in
+   a row the lesser hash is the fingerprint. Stretches of half a run without a mark select
+   fingerprints out of the hashes of their short rows of words besides.
    With ``long`` half a run, either the first ``long`` words of a run have no mark inside,
-   and the second kind is sure to lie in it, or a whole window of grams ends before the run
-   does. Both depend on the run's own words only, so wherever it stands again they stand too.
-3. Joined positions: only fingerprints that come up at two places go on, as the places at
-   which a run that holds the fingerprint may begin. Those from one fingerprint to the next
-   are a block.
-4. Matches are extended both ways: the words of whole blocks, back to the fingerprint before
-   and on to the last run's end, are compared by a 128-bit digest. Of equal blocks all but
-   the first repeat. In the blocks that are left, where passages begin and end and where
-   they stand first, the runs are compared one by one in the same way, and of equal ones the
-   first stays. Repeated runs go as one where they touch.
+   and the second kind is sure to lie in it, or two grams in a row end before the run does.
+   Both depend on the run's own words only, so wherever it stands again they stand too.
+3. Joined positions: only fingerprints that come up at two places go on, as ranges of
+   places at which a run that holds the fingerprint may begin.
+4. Matches are extended both ways: the runs of these ranges, from the one that ends in
+   the fingerprint to the one that begins with it, are compared by a 128-bit digest of all
+   their words. Of equal ones the first stays, and the others go as one where they touch.
 
 All steps are plain DataFrame functions. Fingerprints and digests are aggregated before
 they meet, and their joins are between written tables, so hot ones are split. Runs are
@@ -70,17 +67,8 @@ def _numbers(first: Column | int, last: Column | int) -> Column:
     return F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
 
-def _fingerprint(h: Column, begin: Column) -> Column:
-    return F.struct(h.alias("print"), begin.cast("int").alias("begin"))
-
-
-def _changes(chosen: Column) -> Column:
-    """Fingerprints that follow each other, each once; those chosen by windows in a row never go back."""
-    return F.filter(
-        chosen,
-        lambda c, i: c.isNotNull()
-        & ((i == 0) | F.coalesce(c["begin"] != F.get(chosen, i - 1)["begin"], F.lit(True))),
-    )
+def _fingerprint(h: Column, begin: Column, end: Column) -> Column:
+    return F.struct(h.alias("print"), begin.cast("int").alias("begin"), end.cast("int").alias("end"))
 
 
 def _grams(words: Column, chunks: Column, gram: int) -> Column:
@@ -92,51 +80,51 @@ def _grams(words: Column, chunks: Column, gram: int) -> Column:
         return _bound(
             F.array_min(ends),
             lambda end: F.when(
-                end.isNotNull(), _fingerprint(F.xxhash64(F.slice(words, begin + 1, end - begin)), begin)
+                end.isNotNull(),
+                _fingerprint(F.xxhash64(F.slice(words, begin + 1, end - begin)), begin, end),
             ),
         )
 
     return F.transform(_numbers(0, F.size(chunks) - 2), one)
 
 
-def _selected(grams: Column, reach: int) -> Column:
-    """The least of the grams that begin within ``reach`` words of each; of equal ones the first."""
+def _selected(grams: Column) -> Column:
+    """The grams that are the lesser of two in a row; of equal ones the first."""
 
     def least(gram: Column, j: Column) -> Column:
-        near = F.slice(grams, j + 1, reach + 1)
-        return F.array_min(F.filter(near, lambda g: g["begin"] <= gram["begin"] + reach))
+        after, before = F.get(grams, j + 1)["print"], F.get(grams, j - 1)["print"]
+        own = gram["print"]
+        return F.coalesce(own <= after, own.isNotNull()) | F.coalesce(own < before, F.lit(False))
 
-    return _bound(F.transform(grams, least), _changes)
+    return F.filter(grams, lambda gram, j: gram.isNotNull() & least(gram, j))
 
 
-def _unmarked(words: Column, parts: Column, long: int, width: int) -> Column:
+def _unmarked(words: Column, parts: Column, long: int) -> Column:
     """Fingerprints of all rows of ``long`` words without a mark between them."""
+    width = min(8, max(1, long // 3))
 
     def of_part(part: Column) -> Column:
         begin, end = part["begin"], part["end"]
         rows = F.transform(
             _numbers(begin, end - width),
-            lambda i: _fingerprint(F.xxhash64(F.slice(words, i + 1, width)), i),
+            lambda i: _fingerprint(F.xxhash64(F.slice(words, i + 1, width)), i, i + width),
         )
         chosen = lambda rows: F.transform(
             _numbers(0, end - begin - long), lambda i: F.array_min(F.slice(rows, i + 1, long - width + 1))
         )
-        return _bound(_bound(rows, chosen), _changes)
+        changes = lambda chosen: F.filter(
+            chosen, lambda c, i: (i == 0) | (c["begin"] != F.get(chosen, i - 1)["begin"])
+        )
+        return _bound(_bound(rows, chosen), changes)
 
     return F.flatten(F.transform(F.filter(parts, lambda p: p["end"] - p["begin"] >= long), of_part))
 
 
-def _width(min_words: int) -> int:
-    """The least number of words of a fingerprint."""
-    return max(1, (min_words - min_words // 2) // 3)
-
-
 def _fingerprints(text: Column, min_words: int) -> Column:
-    """print and begin (a number of words) of the fingerprints of a text."""
+    """print, begin, end of the fingerprints of a text; places are numbers of words."""
     long = min_words // 2
-    rest = min_words - long
-    chunk, gram, width = max(1, rest // 5), _width(min_words), _width(min_words)
-    reach = rest - gram - chunk + 1
+    chunk = max(1, (min_words - long) // 3)
+    gram = min_words - long - 2 * chunk + 1
 
     def parts(words: Column) -> Column:
         marked = F.transform(words, lambda w, i: F.when(F.right(w, F.lit(1)).isin(*MARKS), i + 1))
@@ -156,33 +144,12 @@ def _fingerprints(text: Column, min_words: int) -> Column:
             F.transform(parts, lambda p: F.sequence(p["begin"], p["end"] - 1, F.lit(chunk)))
         )
         chunks = F.concat(starts, F.array(F.size(words)))
-        chosen = _bound(
-            _bound(chunks, lambda c: _grams(words, c, gram)), lambda grams: _selected(grams, reach)
-        )
-        return F.concat(chosen, _unmarked(words, parts, long, width))
+        chosen = _bound(_bound(chunks, lambda c: _grams(words, c, gram)), _selected)
+        return F.concat(chosen, _unmarked(words, parts, long))
 
     return _bound(_words(text), lambda w: _bound(parts(w), lambda p: of_parts(w, p)))
 
 
-def _digests(words: Column) -> list[Column]:
-    return [F.xxhash64(words).alias("a"), F.xxhash64(F.lit("second"), words).alias("b")]
-
-
-def _digest(words: Column, place: Column) -> Column:
-    return F.struct(place, *_digests(words))
-
-
-def _later(spans: DataFrame, min_words: int) -> DataFrame:
-    """The spans whose digest stands at an earlier place, without lapping over into it."""
-    place = F.struct("owner", "one", "two", "from")
-    first = spans.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    first = materialize(first.filter("first != last").drop("last"), "first")
-    own = (F.col("one") == F.col("first.one")) & (F.col("two") == F.col("first.two"))
-    return spans.join(first, ["a", "b"]).filter(
-        (place > F.col("first")) & (~own | (F.col("from") >= F.col("first.from") + min_words))
-    )
-
-
 def repeated_runs(
     df: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = 50
 ) -> DataFrame:
@@ -198,43 +165,36 @@ def repeated_runs(
     texts = materialize(texts, "texts")
 
     prints = texts.select("one", F.inline(_fingerprints(F.col("text"), min_words)))
-    # Texts with one digest would share places, which does no harm: their words are compared.
+    # Texts with one digest would share ranges, which does no harm: their runs are compared.
     prints = materialize(prints, "prints")
     twice = prints.groupBy("print").agg(F.count("*").alias("n")).filter("n > 1").select("print")
-    places = prints.join(materialize(twice, "twice"), "print").groupBy("one")
-    places = materialize(places.agg(F.sort_array(F.collect_set("begin")).alias("begins")), "places")
+    ranges = prints.join(materialize(twice, "twice"), "print").select(
+        "one",
+        F.greatest(F.col("end") - min_words, F.lit(0)).alias("from"),
+        F.col("begin").alias("to"),
+    )
+    ranges = ranges.groupBy("one").agg(F.collect_list(F.struct("from", "to")).alias("ranges"))
+    ranges = materialize(ranges, "ranges")
 
+    begins = F.array_distinct(F.flatten(F.transform("ranges", lambda r: F.sequence(r["from"], r["to"]))))
     hashes = F.transform(_words(F.col("text")), lambda w: F.xxhash64(w))
-    blocks = texts.join(places, "one").select("one", "two", "owner", hashes.alias("h"), "begins")
-    blocks = blocks.withColumn("last", F.size("h") - min_words)
-    # Runs from the one that may end in the fingerprint, or from the block before, to the one
-    # that begins with it.
-    ahead = min_words - _width(min_words)
-    spans = F.transform(
-        "begins",
-        lambda b, k: F.struct(
-            F.greatest(b - ahead, F.coalesce(F.get("begins", k - 1) + 1, F.lit(0)), F.lit(0)).alias("from"),
-            F.least(b, F.col("last")).alias("to"),
-        ),
-    )
-    spans = F.filter(spans, lambda s: s["from"] <= s["to"])
-    blocks = blocks.select("one", "two", "owner", "h", F.inline(spans))
-    content = F.slice("h", F.col("from") + 1, F.col("to") - F.col("from") + min_words)
-    runs = F.transform(
-        F.sequence("from", "to"), lambda i: _digest(F.slice("h", i + 1, min_words), i.alias("from"))
+    found = texts.join(ranges, "one").select("one", "two", "owner", hashes.alias("h"), begins.alias("begins"))
+    found = found.select("one", "two", "owner", "h", F.explode("begins").alias("from"))
+    found = found.filter(F.col("from") <= F.size("h") - min_words)
+    run = F.slice("h", F.col("from") + 1, min_words)
+    found = found.select(
+        "one", "two", "owner", "from", F.xxhash64(run).alias("a"), F.xxhash64(F.lit("second"), run).alias("b")
     )
-    blocks = blocks.select(
-        "one", "two", "owner", "from", "to", *_digests(content), runs.alias("runs")
+    found = materialize(found, "runs")
+    place = F.struct("owner", "one", "two", "from")
+    first = found.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    first = materialize(first.filter("first != last").drop("last"), "first")
+    own = (F.col("one") == F.col("first.one")) & (F.col("two") == F.col("first.two"))
+    later = found.join(first, ["a", "b"]).filter(
+        (place > F.col("first")) & (~own | (F.col("from") >= F.col("first.from") + min_words))
     )
-    blocks = materialize(blocks, "blocks")
-    judged = materialize(_later(blocks.drop("runs"), min_words), "judged")
-    settled = judged.select("one", "two", "from", "to")
-    left = blocks.join(settled, ["one", "two", "from", "to"], "left_anti")
-    found = materialize(left.select("one", "two", "owner", F.inline("runs")), "runs")
-    later = _later(found, min_words).select("one", "two", "from", F.col("from").alias("to"))
-    later = later.unionByName(settled)
-    later = later.withColumn("to", F.col("to") + min_words - 1)
     # Runs that overlap or touch become one.
+    later = later.select("one", "two", "from", (F.col("from") + min_words - 1).alias("to"))
     upward = Window.partitionBy("one", "two").orderBy("from")
     starts = F.coalesce(F.col("from") > F.lag("to").over(upward) + 1, F.lit(True))
     later = later.withColumn("starts", starts.cast("int"))
