@@ -33,6 +33,7 @@ from .flight_weather import (
     flight_weather,
     interval_join,
     nearest_stations,
+    windows_of,
     with_stations,
     with_window_bounds,
 )
@@ -46,6 +47,8 @@ PROFILED = [
     "arr_time", "arr_delay", *clean.DELAY_CAUSES, "crs_elapsed_time", "distance",
 ]
 
+_MODEL_COLUMNS = ["flight_id", LABEL, *feature_columns(derived.CARRIERS)]
+
 stored_merges: dict[tuple[str, str, tuple[str, ...]], DataFrame] = {}
 
 
@@ -70,12 +73,14 @@ def _nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flight_weather(spark: SparkSession, sf_dir: str, counts: bool = False) -> DataFrame:
-    flights = _clean_flights(spark, sf_dir)
+    flights, nearest = _clean_flights(spark, sf_dir), _nearest(spark, sf_dir)
     return flight_weather(
         derived.finished(flights, flights.columns),
-        _nearest(spark, sf_dir),
+        nearest,
         clean.clean_weather(derived.weather(spark, sf_dir)),
         counts=counts,
+        # These read five columns; of finished flights all would be derived.
+        windows=windows_of(flights, nearest),
     )
 
 
@@ -487,8 +492,8 @@ def minmax_test(spark, sf_dir):
 
 def features(spark, sf_dir):
     """Every element of the feature vectors of the test rows, by its position."""
-    test = _for_models(_modular(spark, sf_dir)).test
-    vectors = assembler(derived.CARRIERS).transform(test)
+    test = _modular(spark, sf_dir).test.select(*_MODEL_COLUMNS)
+    vectors = assembler(derived.CARRIERS).transform(materialize(test, "test"))
     return rounded(
         vectors.select(
             "flight_id",
@@ -502,7 +507,7 @@ def features(spark, sf_dir):
 
 
 def _for_models(prepared: Prepared) -> Prepared:
-    return stored(prepared, ["flight_id", LABEL, *feature_columns(derived.CARRIERS)])
+    return stored(prepared, _MODEL_COLUMNS)
 
 
 def _candidates() -> dict[str, models.Candidate]:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +16,9 @@ from ..sources.tables import broadcast_if_small, materialize
 
 ROLES = {"origin": "dep", "dest": "arr"}
 
+# As many stations may stand in a plan.
+LISTED = 1000
+
 _AIRPORT, _STATION = ("airport_id", "lat", "lon"), ("station_id", "lat", "lon")
 
 
@@ -85,17 +87,15 @@ def windows_of(flights: DataFrame, nearest: DataFrame, window_hours: int = 10) -
     Flights of an airport, day and label count once before they meet the stations, so a hot
     airport shrinks before any shuffle.
     """
-    asked = reduce(
-        DataFrame.unionByName,
-        [
-            flights.select(
-                F.col(role).alias("airport_id"),
-                F.col("fl_date").alias("day"),
-                F.col(f"{side}_time_blk").alias("label"),
-            )
-            for role, side in ROLES.items()
-        ],
-    ).distinct()
+    sides = [
+        F.struct(
+            F.col(role).alias("airport_id"),
+            F.col("fl_date").alias("day"),
+            F.col(f"{side}_time_blk").alias("label"),
+        )
+        for role, side in ROLES.items()
+    ]
+    asked = flights.select(F.inline(F.array(*sides))).distinct()
     stations = broadcast_if_small(nearest.select("airport_id", F.col("station_id").alias("station")))
     return materialize(
         requested_windows(asked.join(stations, "airport_id"), window_hours), "windows"
@@ -115,6 +115,19 @@ def near_in_time(weather: DataFrame, windows: DataFrame) -> DataFrame:
     return weather.filter((F.col("date") >= low) & (F.col("date") <= high))
 
 
+def at_stations(weather: DataFrame, nearest: DataFrame) -> DataFrame:
+    """Observations of the stations that some airport has.
+
+    Up to ``LISTED`` stations are literals and reach the scan, before anything is unpacked;
+    more are joined.
+    """
+    used = nearest.select(F.col("station_id").alias("station"))
+    found = used.filter("station IS NOT NULL").distinct().limit(LISTED + 1).collect()
+    if len(found) <= LISTED:
+        return weather.filter(F.col("station").isin([row[0] for row in found]))
+    return weather.join(broadcast_if_small(used), "station", "left_semi")
+
+
 def interval_join(
     flights: DataFrame,
     weather: DataFrame,
@@ -171,6 +184,7 @@ def flight_weather(
     window_hours: int = 10,
     measures: Sequence[str] = MEASURES,
     counts: bool = False,
+    windows: DataFrame | None = None,
 ) -> DataFrame:
     """Cleaned flights with mean measures ``dep_*`` and ``arr_*`` of their windows.
 
@@ -181,11 +195,11 @@ def flight_weather(
     The windows asked for and their means are written and read back. Both joins then read the
     finished table: broadcast where its size allows, else shuffled with nothing between
     shuffle and join, so that adaptive execution can split the flights of a hot
-    station and block.
+    station and block. ``windows`` are those of ``windows_of`` where the caller has them.
     """
-    windows = windows_of(flights, nearest, window_hours)
-    used = broadcast_if_small(nearest.select(F.col("station_id").alias("station")))
-    seen = near_in_time(weather, windows).join(used, "station", "left_semi")
+    if windows is None:
+        windows = windows_of(flights, nearest, window_hours)
+    seen = at_stations(near_in_time(weather, windows), nearest)
     means = materialize(label_window_means(seen, windows, measures), "window-means")
     merged = with_stations(flights, nearest)
     names = list(merged.columns)

@@ -1,9 +1,13 @@
 """What the plans look like: what is read, what is shuffled, what is broadcast."""
 
+import re
+
 import pytest
 
 from skylag.operators.clean import clean_flights, clean_weather, us_weather
 from skylag.operators.nearest import nearest_join
+from skylag.plans import catalog, training
+from skylag.plans import flight_weather as fw
 from skylag.plans.catalog import QUERIES
 from skylag.plans.flight_weather import flight_weather, nearest_stations
 from skylag.session import scratch_path
@@ -85,3 +89,32 @@ def test_csv_with_given_schema(spark, tmp_path):
     (tmp_path / "a.csv").write_text("airport_id;lat;lon\nAAA;1.5;-2\nBBB;;3\n")
     rows = read_csv(spark, str(tmp_path / "a.csv"), sep=";").collect()
     assert [tuple(r) for r in rows] == [("AAA", 1.5, -2.0), ("BBB", None, 3.0)]
+
+
+def test_windows_read_flights_once(spark, sf_dir, monkeypatch):
+    """Both airports' windows come from one scan, of the columns that they need."""
+    written = []
+    monkeypatch.setattr(fw, "materialize", lambda df, name, by=(): written.append(df) or df)
+    windows = fw.windows_of(catalog._clean_flights(spark, sf_dir), catalog._nearest(spark, sf_dir))
+    plan = written[-1]._jdf.queryExecution().optimizedPlan().toString()
+    assert windows.count() > 0 and plan.count("o_orderkey") > 0
+    assert sum("Relation [o_" in line for line in plan.splitlines()) == 1
+
+
+def test_used_stations_reach_the_scan_of_observations(spark, sf_dir, monkeypatch):
+    """A few stations are pushed into the scan; many are joined, with the same rows."""
+    weather = clean_weather(derived.weather(spark, sf_dir))
+    nearest = catalog._nearest(spark, sf_dir)
+    listed = fw.at_stations(weather, nearest)
+    below = listed._jdf.queryExecution().optimizedPlan().toString().split("Generate")[-1]
+    assert re.search(r"user_id#\d+L? (IN|INSET|=) ", below)
+    monkeypatch.setattr(fw, "LISTED", 0)
+    joined = fw.at_stations(weather, nearest)
+    assert "Join" in joined._jdf.queryExecution().toString()
+    assert sorted(map(str, listed.collect())) == sorted(map(str, joined.collect()))
+    assert listed.count() > 0
+
+
+def test_features_write_no_training_rows(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr(training, "materialize", lambda *_: pytest.fail("training rows were written"))
+    assert catalog.features(spark, sf_dir).count() > 0
