@@ -125,6 +125,33 @@ def test_repeated_rows_null_keys_clashing_columns_and_an_empty_table(spark):
     assert line_dedup.without_repeats(df.limit(0)).count() == 0
 
 
+def test_only_the_runs_stay_on_disk(spark):
+    """No cut holds the texts once the runs are known, and the session's settings are as before."""
+    draw = random.Random(5)
+    texts = [" ".join(f"{draw.getrandbits(48):x}" for _ in range(400)) for _ in range(300)]
+    df = spark.createDataFrame(documents([*texts, *texts[:3]]), DOCUMENTS)
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    size = lambda: sum(p.stat().st_size for p in folder.rglob("*") if p.is_file())
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = size(), spark.conf.get(setting)
+    runs = line_dedup.repeated_runs(df)
+    assert size() - before < sum(map(len, texts)) / 10
+    assert spark.conf.get(setting) == was
+    assert sorted((r.doc, *r.runs[0]) for r in runs.collect()) == [(i, 0, 399) for i in range(300, 303)]
+
+
+def test_few_different_words_equal_brute_force(spark):
+    """Where grams come again within a run, or none of them is drawn."""
+    draw = random.Random(9)
+    texts = [" ".join(draw.choice("ab") * draw.randint(1, 40) for _ in range(9)) for _ in range(6)]
+    texts += [" ".join(draw.choice(["a", "a b", "a a a a a a a a"]) for _ in range(60)) for _ in range(6)]
+    texts += ["a b c " * 70, "b c a " * 60, "a " * 49 + "b", "a " * 130]
+    rows = documents([*texts, texts[7][20:] + " c"])
+    got = found(line_dedup.without_repeats(spark.createDataFrame(rows, DOCUMENTS)))
+    assert got == by_force(rows, 50)
+    assert sum(r[2] > 0 for r in got) > 3
+
+
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = QUERIES["op9_line_dedup"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
