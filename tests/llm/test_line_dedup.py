@@ -155,3 +155,24 @@ def test_few_different_words_equal_brute_force(spark):
 def test_no_python_in_the_plan(spark, sf_dir):
     plan = QUERIES["op9_line_dedup"](spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_stretches_hold_each_run_once_and_are_hashed_in_compiled_code(spark):
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice(["a", "b", f"w{i}"]) for i in range(n)) for n in (49, 50, 51, 300, 700)]
+    texts += ["a " * 200, "a b c " * 90, "\t\x0ba\r\n  b\f c " * 40]
+    schema = "one long, two long, text string"
+    df = spark.createDataFrame([(i, 0, t) for i, t in enumerate([*texts, texts[3]])], schema)
+    df = df.withColumn("one", line_dedup.F.xxhash64("text"))
+    for least in (3, 12, 50):
+        out = line_dedup._stretches(df, least)
+        runs = {}
+        for r in out.collect():
+            runs.setdefault(r.one, []).extend(range(r["from"], r["from"] + r.n))
+        want = [n - least + 1 for n in (len(t.split()) for t in texts) if n >= least]
+        assert sorted(map(len, runs.values())) == sorted(want)
+        assert all(sorted(got) == list(range(len(got))) for got in runs.values())
+    # Words of a stretch are sliced and hashed beside the rows, not while arrays are walked.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "slice(" in plan
+    assert not any("slice(" in line for line in plan.splitlines() if "lambda" in line)
