@@ -176,3 +176,39 @@ def test_stretches_hold_each_run_once_and_are_hashed_in_compiled_code(spark):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "slice(" in plan
     assert not any("slice(" in line for line in plan.splitlines() if "lambda" in line)
+
+
+def test_short_phrases_in_many_texts_are_not_compared_run_by_run(spark, monkeypatch):
+    """Only runs with the same words on one side of their gram are; whole copies stay apart."""
+    draw = random.Random(11)
+    word = lambda: f"{draw.getrandbits(48):x}"
+    between = lambda: " ".join(word() for _ in range(60))
+    phrases = [" ".join(word() for _ in range(25)) for _ in range(8)]
+    texts = [" ".join(f"{between()} {p}" for p in draw.sample(phrases, 8)) for _ in range(30)]
+    texts += [texts[3], " \t" + texts[4], texts[5] + "\x0b"]
+    compared, runs = [], line_dedup._runs
+
+    def counted(rows, min_words):
+        compared.append(runs(rows, min_words).count())
+        return runs(rows, min_words)
+
+    monkeypatch.setattr(line_dedup, "_runs", counted)
+    rows = documents(texts)
+    assert found(line_dedup.without_repeats(spark.createDataFrame(rows, DOCUMENTS))) == by_force(rows, 50)
+    assert compared[0] < 300
+
+
+def test_stretches_of_all_rows_take_no_shuffle(spark):
+    rows = [(i // 2, 0, " ".join(f"{i // 2}w{k}" for k in range(200))) for i in range(6)]
+    df = spark.createDataFrame(rows, "one long, two long, text string")
+    out = line_dedup._stretches(df, 50, once=False)
+    assert "Exchange" not in out._jdf.queryExecution().toString()
+    assert sorted(out.distinct().collect()) == sorted(line_dedup._stretches(df, 50).select(out.columns).collect())
+    assert out.count() == 2 * out.distinct().count()
+
+
+def test_words_part_at_every_kind_of_white_space(spark):
+    texts = ["a b", "a\nb  c", "\ta\r\nb\fc\x0bd ", "a\x0bb", "a\rb\n", " ", "", "a b c"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [r[0] for r in df.select(line_dedup._words(line_dedup.F.col("text"))).collect()]
+    assert got == [re.findall(f"[^{WHITE}]+", t) for t in texts]
